@@ -227,8 +227,8 @@ ORACLES = {
         GROUP BY 1 HAVING max(cdc_lsn) > coalesce(max(cdc_lsn) FILTER (lower(trim(cdc_op)) = 'd'), -1)""",
     "p7_found": """
         WITH d AS (SELECT decision_id, min(ts) AS ts, arg_min(uuid, ts) AS uuid FROM (
-              SELECT decision_id, internal_customer_uuid AS uuid, CASE WHEN regexp_matches(t, '(Z|[+-]\\d\\d:\\d\\d)$') THEN CAST(t AS TIMESTAMPTZ) ELSE CAST(t || '+04:00' AS TIMESTAMPTZ) END AS ts
-              FROM (SELECT *, trim(decision_timestamp) AS t FROM decisions_raw) WHERE regexp_matches(t, '^\\d{4}-\\d\\d-\\d\\d[T ]') AND internal_customer_uuid IS NOT NULL) GROUP BY 1),
+              SELECT decision_id, internal_customer_uuid AS uuid, CASE WHEN regexp_matches(t, '(Z|[+-]\\d\\d:\\d\\d)$') THEN TRY_CAST(t AS TIMESTAMPTZ) ELSE TRY_CAST(t || '+04:00' AS TIMESTAMPTZ) END AS ts
+              FROM (SELECT *, trim(decision_timestamp) AS t FROM decisions_raw) WHERE regexp_matches(t, '^\\d{4}-\\d\\d-\\d\\d[T ]') AND internal_customer_uuid IS NOT NULL) WHERE ts IS NOT NULL GROUP BY 1),
         e AS (SELECT decision_id, epoch_ms(ts) AS ms, uuid FROM d),
         c AS (SELECT internal_customer_uuid AS uuid, cdc_lsn, min(cdc_source_ts_ms) AS ms, bool_or(lower(trim(cdc_op)) = 'd') AS gone FROM customer_profile_raw WHERE internal_customer_uuid IS NOT NULL GROUP BY 1, 2),
         i AS (SELECT decision_id, max(cdc_lsn) AS cdc_lsn, arg_max(gone, cdc_lsn) AS gone FROM e JOIN c ON c.uuid = e.uuid AND c.ms <= e.ms GROUP BY 1),
