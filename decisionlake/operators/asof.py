@@ -28,9 +28,10 @@ def numbered(changes: DataFrame, events: DataFrame, span: int = SPAN) -> tuple[D
     changes as ``entity, version, effective``, where effective is the highest rank among the first ``version`` changes, and
     the events as ``entity, event, version``.
     """
+    kind = events.schema["event"].dataType
     rows = (
-        changes.select("entity", "at", F.col("rank"), F.lit(None).cast("string").alias("event"))
-        .unionByName(events.select("entity", "at", F.lit(None).cast("long").alias("rank"), F.col("event").cast("string").alias("event")))
+        changes.select("entity", "at", F.col("rank"), F.lit(None).cast(kind).alias("event"))
+        .unionByName(events.select("entity", "at", F.lit(None).cast("long").alias("rank"), "event"))
         .where("entity IS NOT NULL AND at IS NOT NULL")
         .withColumn("span", F.floor(F.col("at") / span))
     )

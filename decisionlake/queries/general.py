@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from decisionlake.config import PRODUCTS
+from decisionlake.functions.ids import packed, unpacked
 from decisionlake.functions.times import gulf_micros, gulf_micros_of_epoch, wall_micros
 from decisionlake.operators import asof, messages, profile, replay
 from decisionlake.session import cut, table
@@ -140,8 +141,8 @@ def p6_state(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def decisions_once(decisions: DataFrame) -> DataFrame:
-    """``decision_id, uuid, at``: each decision with a readable time and a customer, once."""
-    readable = decisions.select("decision_id", F.col(KEY).alias("uuid"), gulf_micros(F.col(TIME)).alias("at")).where("decision_id IS NOT NULL AND uuid IS NOT NULL AND at IS NOT NULL")
+    """``decision_id, uuid, at``: each decision with a readable time and a customer, once; both ids packed."""
+    readable = decisions.select(packed(F.col("decision_id")).alias("decision_id"), packed(F.col(KEY)).alias("uuid"), gulf_micros(F.col(TIME)).alias("at")).where("decision_id IS NOT NULL AND uuid IS NOT NULL AND at IS NOT NULL")
     return readable.groupBy("decision_id").agg(F.min(F.struct("at", "uuid")).alias("first")).select("decision_id", "first.uuid", "first.at")
 
 
@@ -149,20 +150,20 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     """The change and the bureau report in effect at each decision."""
     feed = table(spark, folder, "customer_profile_raw")
     reports = table(spark, folder, "aecb_credit_report")
-    decisions = cut(decisions_once(table(spark, folder, "decisions_raw")))
+    decisions = decisions_once(table(spark, folder, "decisions_raw"))
 
-    changes = feed.where(F.col(KEY).isNotNull() & F.col(LSN).isNotNull()).groupBy(F.col(KEY).alias("entity"), F.col(LSN).alias("rank")).agg(
+    changes = feed.where(F.col(KEY).isNotNull() & F.col(LSN).isNotNull()).groupBy(packed(F.col(KEY)).alias("entity"), F.col(LSN).alias("rank")).agg(
         gulf_micros_of_epoch(F.min("cdc_source_ts_ms")).alias("at"), F.max(_deleted()).alias("gone")
     )
     events = decisions.select(F.col("uuid").alias("entity"), "at", F.col("decision_id").alias("event"))
     income = (
         asof.as_of(changes.select("entity", "at", "rank"), events, changes.select("entity", "rank", "gone"))
         .where("NOT gone")
-        .select(F.col("event").alias("decision_id"), F.lit("monthly_income_aed").alias("attribute"), F.col("effective").cast("string").alias("source_key"))
+        .select(unpacked(F.col("event")).alias("decision_id"), F.lit("monthly_income_aed").alias("attribute"), F.col("effective").cast("string").alias("source_key"))
     )
 
     digits = lambda c: F.nullif(F.regexp_replace(F.col(c), "[^0-9]", ""), F.lit(""))
-    holders = feed.where(F.col(KEY).isNotNull()).groupBy(F.col(KEY).alias("uuid")).agg(F.max(digits("emirates_id")).alias("entity")).where("entity IS NOT NULL")
+    holders = feed.where(F.col(KEY).isNotNull()).groupBy(packed(F.col(KEY)).alias("uuid")).agg(F.max(digits("emirates_id")).alias("entity")).where("entity IS NOT NULL")
     about = decisions.join(holders, "uuid").select("entity", "at", F.col("decision_id").alias("event"))
     # a report's rank is its own time, so that the one in effect is the latest; one reference stands for a time
     reported = (
@@ -172,7 +173,7 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.max("aecb_report_ref").alias("ref"))
     )
     report = asof.as_of(reported.select("entity", F.col("rank").alias("at"), "rank"), about, reported).select(
-        F.col("event").alias("decision_id"), F.lit("aecb_credit_report").alias("attribute"), F.col("ref").alias("source_key")
+        unpacked(F.col("event")).alias("decision_id"), F.lit("aecb_credit_report").alias("attribute"), F.col("ref").alias("source_key")
     )
     return income.unionByName(report)
 
