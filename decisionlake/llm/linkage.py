@@ -16,12 +16,10 @@ so that there is no link; null attributes are no evidence; empty tables give no
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from decisionlake.llm import names
-from decisionlake.llm.name_forms import shortened
 from decisionlake.llm.survivors import good_phone
 from decisionlake.session import cut
 
@@ -50,11 +48,6 @@ def marginals(candidates: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return now.select("descriptor", "customer", (1 / (1 + F.exp(-F.col("belief")))).alias("probability"))
 
 
-@F.pandas_udf("array<string>")
-def _forms(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: sorted(shortened(t)))
-
-
 def birth_date(text: Column) -> Column:
     """A birth date of any notation (ISO, day/month/year, day month-name year, eight digits) as ``yyyy-MM-dd``; else null."""
     t = F.trim(text)
@@ -112,8 +105,8 @@ def fraud_links(events: DataFrame, feed: DataFrame) -> DataFrame:
     written = records.where("email IS NOT NULL").select("descriptor", "email").distinct()
     same = written.join(emails, "email").select("descriptor", "customer", F.lit(8.0).alias("prior"))
     strange = written.join(emails.select("email").distinct(), "email", "left_anti")
-    near = strange.withColumn("form", F.explode(_forms("email"))).join(emails.select("customer", F.col("email").alias("theirs")).withColumn("form", F.explode(_forms("theirs"))), "form")
-    near = near.where(names._near(F.col("email"), F.col("theirs"))).select("descriptor", "customer").distinct().withColumn("prior", F.lit(4.0))
+    near = strange.withColumn("form", F.explode(names.one_letter_less("email"))).join(emails.select("customer", F.col("email").alias("theirs")).withColumn("form", F.explode(names.one_letter_less("theirs"))), "form")
+    near = near.where(names.near(F.col("email"), F.col("theirs"))).select("descriptor", "customer").distinct().withColumn("prior", F.lit(4.0))
     called = records.where("email IS NULL AND phone IS NOT NULL").select("descriptor", "phone").distinct().join(phones, "phone").select("descriptor", "customer", F.lit(4.0).alias("prior"))
     # a customer has several e-mails and phones in time: one slot, no rivalry among them
     won = _winners(same.unionByName(near).unionByName(called).withColumn("slot", F.lit("any")))

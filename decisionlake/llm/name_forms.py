@@ -55,17 +55,21 @@ NICKNAMES = {
     "zach": "zachary", "zaina": "zainab", "zack": "zachary", "drew": "andrew", "lena": "elena", "misha": "mikhail",
 }
 
-_SOUNDS = tuple((re.compile(a), b) for a, b in (("ee", "i"), ("oo|ou", "u"), (r"(.)\1+", r"\1"), ("w", "u"), ("y", "i"), ("z", "s"), ("q", "k"), ("(?<=.)h", "")))
+_SOUNDS = tuple((re.compile(a), b) for a, b in (("e{2,}", "i"), ("o{2,}|ou", "u"), (r"(.)\1+", r"\1"), ("w", "u"), ("y", "i"), ("z", "s"), ("q", "k"), ("(?<=.)h", "")))
 _SPACES = re.compile(r"\s+")
 
 
 class Reading(NamedTuple):
-    """One rewriting. ``given`` or ``middle`` of one letter is an initial; ``cost`` counts the rules that were needed."""
+    """One rewriting. ``given`` or ``middle`` of one letter is an initial; ``cost`` counts the rules that were needed.
+
+    All parts are sounds; ``written`` is given and surname as they were written.
+    """
 
     given: str
     middle: str
     surname: str
     cost: int
+    written: str = ""
 
 
 def sounds(token: str) -> str:
@@ -109,7 +113,8 @@ def _firm(text: str) -> Reading | None:
     core = [TRADE_WORDS.get(t, t) for t in tokens if t not in LEGAL_FORMS]
     if not legal or tokens[-1] not in LEGAL_FORMS or len(core) < 2:
         return None
-    return Reading("#" + "".join(sounds(t) for t in core[1:]), "", sounds(core[0]), 0)
+    kind = "#" + "".join(sounds(t) for t in core[1:])
+    return Reading(kind, "", sounds(core[0]), 0, f"{kind}|{core[0]}")
 
 
 def _given(token: str) -> list[tuple[str, int]]:
@@ -117,6 +122,8 @@ def _given(token: str) -> list[tuple[str, int]]:
     full = NICKNAMES.get(token)
     if full is None and len(token) > 2:
         full = _BY_SOUND.get(sounds(token))
+    if len(token) == 1:  # an initial stays as it is written
+        return [(token, 0)]
     return [(sounds(full), 1)] if full else [(sounds(token), 0)]
 
 
@@ -164,7 +171,7 @@ def parse_name(name: str | None) -> list[Reading]:
             continue
         middle = "".join(sounds(t) for t in order[1:-1])
         for given, extra in _given(order[0]):
-            found.append(Reading(given, middle, surname, cost + extra))
+            found.append(Reading(given, middle, surname, cost + extra, f"{NICKNAMES.get(order[0], order[0])}|{order[-1]}"))
     return found
 
 
@@ -176,22 +183,3 @@ def joined(name: str | None) -> str:
     if words and words[0] in HONORIFICS:
         words = words[1:]
     return sounds("".join(words))
-
-
-def close(a: str, b: str) -> bool:
-    """At most one letter inserted, dropped, replaced or swapped with its neighbour."""
-    if a == b:
-        return True
-    if abs(len(a) - len(b)) > 1:
-        return False
-    i = 0
-    while i < min(len(a), len(b)) and a[i] == b[i]:
-        i += 1
-    if len(a) == len(b):
-        return a[i + 1 :] == b[i + 1 :] or (a[i : i + 2] == b[i : i + 2][::-1] and a[i + 2 :] == b[i + 2 :])
-    return a[i + 1 :] == b[i:] if len(a) > len(b) else a[i:] == b[i + 1 :]
-
-
-def shortened(token: str) -> set[str]:
-    """The token and all that is left when one letter goes: two tokens within one edit share such a form."""
-    return {token} | {token[:i] + token[i + 1 :] for i in range(len(token))}

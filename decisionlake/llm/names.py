@@ -27,15 +27,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from decisionlake.llm.name_forms import joined, parse_name, shortened
+from decisionlake.llm.name_forms import joined, parse_name
 from decisionlake.session import cut
 
 #: A part of a key that occurs in at most so many keys is rare enough to be a slip.
 RARE = 2
+#: So is one that occurs in so many times fewer keys than the part beside which it may be a slip.
+RARER = 5
 #: Most rounds of pointer doubling; a chain of 2^ROUNDS ties would be needed to outrun it, and that is checked.
 ROUNDS = 12
 
-_READ = "name string, word string, readings array<struct<given:string,middle:string,surname:string,cost:int>>"
+_READ = "name string, word string, readings array<struct<given:string,middle:string,surname:string,cost:int,written:string>>"
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -46,12 +48,14 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out[out["word"] != ""]
 
 
-@F.pandas_udf("array<string>")
-def _shortened(tokens: pd.Series) -> pd.Series:
-    return tokens.map(lambda t: sorted(shortened(t)))
+def one_letter_less(token: str) -> Column:
+    """The token and all that is left of it when one letter goes: two tokens within one edit share such a form."""
+    t = F.col(token)
+    less = F.transform(F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1))), lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t))))
+    return F.array_distinct(F.concat(F.array(t), less))
 
 
-def _near(a: Column, b: Column) -> Column:
+def near(a: Column, b: Column) -> Column:
     """Within one edit, a swap of neighbours included."""
     d = F.levenshtein(a, b)
     letters = lambda c: F.array_sort(F.split(c, ""))
@@ -67,7 +71,7 @@ def spellings(*columns: DataFrame) -> DataFrame:
 
 
 def _ordered(read: DataFrame) -> DataFrame:
-    """``name, word, given, middle, surname``: one reading of each spelling that has any."""
+    """``name, word, given, middle, surname, written``: one reading of each spelling that has any."""
     natural = read.where(F.size("readings") > 0).select("name", "word", "readings", F.col("readings")[0].alias("n"))
     full = natural.where(F.length("n.given") > 1)
     support = full.groupBy(F.col("n.given").alias("given"), F.col("n.surname").alias("surname")).agg(F.count("*").alias("support"))
@@ -89,34 +93,37 @@ def _ordered(read: DataFrame) -> DataFrame:
         (-F.col("at")).alias("first"),
     )
     # where both orders are shared, the roles decide
-    best = each.groupBy("name", "word").agg(F.max_by(F.struct("given", "middle", "surname"), score).alias("r"))
-    return sure.select("name", "word", "n.given", "n.middle", "n.surname").unionByName(best.select("name", "word", "r.*"))
+    best = each.groupBy("name", "word").agg(F.max_by(F.struct("given", "middle", "surname", "written"), score).alias("r"))
+    return sure.select("name", "word", "n.given", "n.middle", "n.surname", "n.written").unionByName(best.select("name", "word", "r.*"))
 
 
 def _keys(ordered: DataFrame) -> DataFrame:
     """``given, surname, n, middle, word, breadth_g, breadth_s``: the (given, surname) pairs with their commonest middle name."""
     full = ordered.where(F.length("given") > 1)
-    middles = full.groupBy("given", "surname", "middle").agg(F.count("*").alias("n"))
+    middles = full.groupBy("given", "surname", "middle").agg(F.count("*").alias("n"), F.max("written").alias("written"))
     known = F.when(F.length("middle") > 1, F.struct("n", "middle"))
-    keys = middles.groupBy("given", "surname").agg(F.sum("n").alias("n"), F.max(known)["middle"].alias("middle"))
+    keys = middles.groupBy("given", "surname").agg(F.sum("n").alias("n"), F.max(known)["middle"].alias("middle"), F.max(F.struct("n", "written"))["written"].alias("written"))
     g = keys.groupBy("given").agg(F.count("*").alias("breadth_g"))
     s = keys.groupBy("surname").agg(F.count("*").alias("breadth_s"))
-    return keys.join(g, "given").join(s, "surname").withColumn("key", F.concat_ws("|", "given", "surname"))
+    return keys.join(g, "given").join(s, "surname").withColumn("key", F.concat_ws("|", "given", "surname")).withColumn("given_w", F.split("written", r"\|")[0]).withColumn("surname_w", F.split("written", r"\|")[1])
 
 
 def _parents(ordered: DataFrame, keys: DataFrame) -> DataFrame:
     """``key, parent``: the better-supported key to which a key is tied, if any."""
-    rank = F.struct("n", "key", "given", "surname", "middle", "breadth_g", "breadth_s")
-    forms = keys.select("*", F.explode(F.array_union(
-        F.transform(_shortened("surname"), lambda v: F.concat_ws("|", F.lit("s"), F.col("given"), v)),
-        F.transform(_shortened("given"), lambda v: F.concat_ws("|", F.lit("g"), v, F.col("surname"))),
-    )).alias("form"))
+    rank = F.struct("n", "key", "given", "surname", "middle", "breadth_g", "breadth_s", "given_w", "surname_w")
+    form = lambda kind, *parts: F.concat_ws("|", F.lit(kind), *parts)
+    less = lambda c, make: F.transform(one_letter_less(c), make)
+    forms = keys.select("*", F.explode(F.array_distinct(F.concat(
+        less("surname", lambda v: form("s", F.col("given"), v)), less("surname_w", lambda v: form("sw", F.col("given"), v)),
+        less("given", lambda v: form("g", v, F.col("surname"))), less("given_w", lambda v: form("gw", v, F.col("surname"))),
+    ))).alias("form"))
     anchored = forms.withColumn("to", F.max(rank).over(Window.partitionBy("form"))).where("to.key <> key").where((F.col("to.n") > F.col("n")) | ((F.col("to.n") == F.col("n")) & (F.col("to.key") > F.col("key"))))
-    by_surname = F.col("form").startswith("s|")
-    near = F.when(by_surname, _near(F.col("surname"), F.col("to.surname"))).otherwise(_near(F.col("given"), F.col("to.given")))
-    rare = F.when(by_surname, F.least("breadth_s", F.col("to.breadth_s"))).otherwise(F.least("breadth_g", F.col("to.breadth_g"))) <= RARE
-    agree = _near(F.col("middle"), F.col("to.middle"))
-    edits = anchored.where(near & F.coalesce(agree, rare)).where(rare | F.coalesce(agree, F.lit(False)))
+    by_surname = F.col("form").startswith("s")
+    met = F.when(by_surname, near(F.col("surname"), F.col("to.surname")) | near(F.col("surname_w"), F.col("to.surname_w"))).otherwise(near(F.col("given"), F.col("to.given")) | near(F.col("given_w"), F.col("to.given_w")))
+    few, many = (F.when(by_surname, f("breadth_s", "to.breadth_s")).otherwise(f("breadth_g", "to.breadth_g")) for f in (F.least, F.greatest))
+    rare = (few <= RARE) | (few * RARER <= many)
+    agree = near(F.col("middle"), F.col("to.middle"))
+    edits = anchored.where(met & F.coalesce(agree, rare)).where(rare | F.coalesce(agree, F.lit(False)))
     words = ordered.where(F.length("given") > 1).select(F.concat_ws("|", "given", "surname").alias("key"), "word").distinct().join(keys.select("key", "n"), "key")
     same = words.withColumn("to", F.max(F.struct("n", "key")).over(Window.partitionBy("word"))).where("to.key <> key")
     ties = edits.select("key", "to.n", F.col("to.key").alias("to")).unionByName(same.select("key", "to.n", F.col("to.key").alias("to")))
@@ -146,18 +153,19 @@ def entities(read: DataFrame) -> DataFrame:
 
     initials = ordered.where(F.length("given") == 1)
     people = roots.where(~F.col("given").startswith("#"))
-    near = people.select(F.substring("given", 1, 1).alias("initial"), F.explode(_shortened("surname")).alias("form"), "surname", "root", F.col("middle").alias("known"))
-    tried = initials.select("name", F.col("given").alias("initial"), F.explode(_shortened("surname")).alias("form"), F.col("surname").alias("read"), "middle")
-    met = tried.join(near, ["initial", "form"]).where(_near(F.col("read"), F.col("surname")))
-    fits = F.when(F.col("middle") == "", F.lit(1)).when(F.col("known").isNull(), F.lit(0)).when(F.length("middle") == 1, F.when(F.col("known").startswith(F.col("middle")), 2)).when(_near(F.col("middle"), F.col("known")), 3)
+    there = people.select(F.substring("given_w", 1, 1).alias("initial"), F.explode(one_letter_less("surname")).alias("form"), "surname", "root", F.col("middle").alias("known"))
+    tried = initials.select("name", F.col("given").alias("initial"), F.explode(one_letter_less("surname")).alias("form"), F.col("surname").alias("read"), "middle")
+    met = tried.join(there, ["initial", "form"]).where(near(F.col("read"), F.col("surname")))
+    fits = F.when(F.col("middle") == "", F.lit(1)).when(F.col("known").isNull(), F.lit(0)).when(F.length("middle") == 1, F.when(F.col("known").startswith(F.col("middle")), 2)).when(near(F.col("middle"), F.col("known")), 3)
     candidates = met.withColumn("fits", fits).where("fits IS NOT NULL").groupBy("name", "root").agg(F.max(F.struct((F.col("read") == F.col("surname")).cast("int").alias("exact"), "fits")).alias("q"))
     best = candidates.groupBy("name").agg(F.max("q").alias("best"))
     top = candidates.join(best, "name").where("q = best").groupBy("name").agg(F.count("*").alias("n"), F.max("root").alias("entity"))
     linked = top.where("n = 1").select("name", "entity", F.lit("initial").alias("rule"), (1.0 / F.col("n")).alias("rarity"))
 
     # what is left is its own reading
-    rest = read.join(whole.select("name").unionByName(linked.select("name")), "name", "left_anti").join(initials, "name", "left")
-    alone = rest.select("name", F.coalesce(F.concat_ws("|", F.lit("~"), *[initials[c] for c in ("given", "middle", "surname")]), read["word"]).alias("entity"), F.lit("alone").alias("rule"), F.lit(1.0).alias("rarity"))
+    own = initials.select("name", F.concat_ws("|", F.lit("~"), "given", "middle", "surname").alias("reading"))
+    rest = read.join(whole.select("name").unionByName(linked.select("name")), "name", "left_anti").join(own, "name", "left")
+    alone = rest.select("name", F.coalesce("reading", "word").alias("entity"), F.lit("alone").alias("rule"), F.lit(1.0).alias("rarity"))
     return whole.unionByName(linked).unionByName(alone)
 
 
