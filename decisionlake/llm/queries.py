@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from decisionlake.llm import contamination, linkage, names, survivors, tokenizer
+from decisionlake.llm import contamination, linkage, names, subjects, survivors, tokenizer
 from decisionlake.session import table
 
 
@@ -66,7 +66,18 @@ def p9_coverage(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.select("doc_id", "item_id", F.round("covered", 4).alias("covered"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p4_found, p4_person, p5_found, p5_confidence, p8_ids, p9_found, p9_coverage)}
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The subject areas that each document is about."""
+    return p10_shares(spark, folder).select("doc_id", "subject")
+
+
+def p10_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with each subject's share of the sentences about any."""
+    shares = subjects.subject_shares(*[table(spark, folder, t) for t in ("documents", "doc_labels", "subject_areas", "eval_items")])
+    return shares.select("doc_id", "subject", F.round("share", 4).alias("share"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p4_found, p4_person, p5_found, p5_confidence, p8_ids, p9_found, p9_coverage, p10_found, p10_shares)}
 
 ORACLES = {
     "p4_found": f"""
