@@ -82,7 +82,7 @@ def screening_links(screenings: DataFrame, feed: DataFrame) -> DataFrame:
 
     by_name = descriptors.join(customers.select("customer", "entity").distinct(), "entity").select("descriptor", "entity", "born", "customer", F.lit(5.0).alias("name_odds"))
     # a spelling that names alone can't place: its birth date, and an initial and surname that agree
-    parts = lambda c, i: F.split(c, r"\|")[i]
+    parts = lambda c, i: F.get(F.split(c, r"\|"), F.lit(i))
     bare = descriptors.where("alone LIKE '~|%' AND born IS NOT NULL").select("descriptor", "entity", "born", parts("alone", 1).alias("initial"), parts("alone", 3).alias("surname"))
     whole = customers.where("born IS NOT NULL AND entity NOT LIKE '~%' AND entity LIKE '%|%'").select("customer", "born", F.substring("entity", 1, 1).alias("initial"), parts("entity", 1).alias("theirs")).distinct()
     by_birth = bare.join(whole, ["born", "initial"]).where(F.levenshtein("surname", "theirs") <= 1).select("descriptor", "entity", "born", "customer", F.lit(1.0).alias("name_odds"))
