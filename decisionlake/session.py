@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,3 +43,20 @@ def cut(df: DataFrame) -> DataFrame:
         named = context.getConf().get("spark.checkpoint.dir", "") or df.sparkSession.conf.get("spark.checkpoint.dir", "")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="decisionlake-"))
     return df.checkpoint()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application, so that they needn't have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_decisionlake_shipped", None) != context.applicationId:
+        folder = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="decisionlake-"), "decisionlake.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for at, _, names in os.walk(folder):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(at, name)
+                        z.write(path, os.path.join("decisionlake", os.path.relpath(path, folder)))
+        context.addPyFile(archive)
+        context._decisionlake_shipped = context.applicationId
+    return spark
