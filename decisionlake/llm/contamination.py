@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 STRETCH = 4
 SHARE = 0.5
@@ -30,7 +31,6 @@ BLOCK_WORDS = 200_000
 _TAG = re.compile(r"<[^<>]{0,200}>")
 _HIDDEN = re.compile("[­​-‏⁠﻿ـ]")
 _WORD = re.compile(r"[^\W_]+")
-_MOJIBAKE = re.compile("[ÃÂâØÙ][\u0080-¿Œ-™€-™]")
 
 
 def _repaired(text: str) -> str:
@@ -157,7 +157,8 @@ def leaked_items(texts: DataFrame, identifier: str, text: str, items: DataFrame,
     """``identifier, item, covered``: the items that leak into each text and the share of their words found there."""
     kind, item_kind = texts.schema[identifier].dataType.simpleString(), items.schema[item].dataType.simpleString()
     spark = texts.sparkSession
-    schema = f"`{identifier}` {kind}, `{item}` {item_kind}, covered double"
+    schema = f"`{identifier}` string, `{item}` {item_kind}, covered double"
+    named = texts.select(F.col(identifier).cast("string").alias(identifier), text)  # whole numbers beside nulls would come as floating point
     parts: list[DataFrame] = []
     # the items are the fixed test set; each block is one bounded broadcast
     listed = sorted(((r[0], normalised(r[1])) for r in items.select(item, passage).toLocalIterator() if r[0] is not None), key=lambda x: x[0])
@@ -170,9 +171,9 @@ def leaked_items(texts: DataFrame, identifier: str, text: str, items: DataFrame,
                 found = [(d, i, c) for d, t in zip(batch[identifier], batch[text]) if isinstance(t, str) for i, c in automaton.leaks(normalised(t), share)]
                 yield pd.DataFrame(found, columns=[identifier, item, "covered"])
 
-        parts.append(texts.select(identifier, text).mapInPandas(scan, schema))
+        parts.append(named.mapInPandas(scan, schema).withColumn(identifier, F.col(identifier).cast(kind)))
     if not parts:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema).withColumn(identifier, F.col(identifier).cast(kind))
     out = parts[0]
     for other in parts[1:]:
         out = out.unionByName(other)

@@ -105,29 +105,36 @@ def _keys(ordered: DataFrame) -> DataFrame:
     keys = middles.groupBy("given", "surname").agg(F.sum("n").alias("n"), F.max(known)["middle"].alias("middle"), F.max(F.struct("n", "written"))["written"].alias("written"))
     g = keys.groupBy("given").agg(F.count("*").alias("breadth_g"))
     s = keys.groupBy("surname").agg(F.count("*").alias("breadth_s"))
-    return keys.join(g, "given").join(s, "surname").withColumn("key", F.concat_ws("|", "given", "surname")).withColumn("given_w", F.split("written", r"\|")[0]).withColumn("surname_w", F.split("written", r"\|")[1])
+    return keys.join(g, "given").join(s, "surname").withColumn("key", F.concat_ws("|", "given", "surname")).withColumn("given_w", F.split("written", r"\|")[0])
 
 
 def _parents(ordered: DataFrame, keys: DataFrame) -> DataFrame:
-    """``key, parent``: the better-supported key to which a key is tied, if any."""
-    rank = F.struct("n", "key", "given", "surname", "middle", "breadth_g", "breadth_s", "given_w", "surname_w")
+    """``key, parent``: the better-established key to which a key is tied, if any.
+
+    A key is better established if both its parts occur in other keys, then if more spellings share it.
+    """
+    written = ordered.where(F.length("given") > 1).select(F.concat_ws("|", "given", "surname").alias("key"), F.split("written", r"\|")[0].alias("given_w"), F.split("written", r"\|")[1].alias("surname_w")).distinct()
+    common = F.least("breadth_g", "breadth_s")
+    ranked = keys.select("key", "given", "surname", "middle", "breadth_g", "breadth_s", F.struct((common > RARE).alias("known"), F.col("n").alias("n"), common.alias("common"), F.col("key").alias("key")).alias("rank"))
     form = lambda kind, *parts: F.concat_ws("|", F.lit(kind), *parts)
     less = lambda c, make: F.transform(one_letter_less(c), make)
-    forms = keys.select("*", F.explode(F.array_distinct(F.concat(
+    forms = ranked.join(written, "key").select("*", F.explode(F.array_distinct(F.concat(
         less("surname", lambda v: form("s", F.col("given"), v)), less("surname_w", lambda v: form("sw", F.col("given"), v)),
         less("given", lambda v: form("g", v, F.col("surname"))), less("given_w", lambda v: form("gw", v, F.col("surname"))),
     ))).alias("form"))
-    anchored = forms.withColumn("to", F.max(rank).over(Window.partitionBy("form"))).where("to.key <> key").where((F.col("to.n") > F.col("n")) | ((F.col("to.n") == F.col("n")) & (F.col("to.key") > F.col("key"))))
+    anchor = F.struct("rank", "key", "given", "surname", "middle", "breadth_g", "breadth_s", "given_w", "surname_w")
+    anchored = forms.withColumn("to", F.max(anchor).over(Window.partitionBy("form"))).where("to.rank > rank")
     by_surname = F.col("form").startswith("s")
     met = F.when(by_surname, near(F.col("surname"), F.col("to.surname")) | near(F.col("surname_w"), F.col("to.surname_w"))).otherwise(near(F.col("given"), F.col("to.given")) | near(F.col("given_w"), F.col("to.given_w")))
     few, many = (F.when(by_surname, f("breadth_s", "to.breadth_s")).otherwise(f("breadth_g", "to.breadth_g")) for f in (F.least, F.greatest))
     rare = (few <= RARE) | (few * RARER <= many)
-    agree = near(F.col("middle"), F.col("to.middle"))
+    ours, theirs = F.col("middle"), F.col("to.middle")
+    agree = near(ours, theirs) | ours.startswith(theirs) | theirs.startswith(ours)
     edits = anchored.where(met & F.coalesce(agree, rare)).where(rare | F.coalesce(agree, F.lit(False)))
-    words = ordered.where(F.length("given") > 1).select(F.concat_ws("|", "given", "surname").alias("key"), "word").distinct().join(keys.select("key", "n"), "key")
-    same = words.withColumn("to", F.max(F.struct("n", "key")).over(Window.partitionBy("word"))).where("to.key <> key")
-    ties = edits.select("key", "to.n", F.col("to.key").alias("to")).unionByName(same.select("key", "to.n", F.col("to.key").alias("to")))
-    return ties.groupBy("key").agg(F.max(F.struct("n", "to"))["to"].alias("parent"))
+    words = ordered.where(F.length("given") > 1).select(F.concat_ws("|", "given", "surname").alias("key"), "word").distinct().join(ranked.select("key", "rank"), "key")
+    same = words.withColumn("to", F.max("rank").over(Window.partitionBy("word"))).where("to > rank")
+    ties = edits.select("key", "to.rank").unionByName(same.select("key", F.col("to").alias("rank")))
+    return ties.groupBy("key").agg(F.max("rank")["key"].alias("parent"))
 
 
 def _roots(keys: DataFrame, parents: DataFrame) -> DataFrame:

@@ -245,7 +245,7 @@ def fitted(texts: DataFrame, labels: DataFrame, areas: DataFrame, items: DataFra
         .select("doc_id", "given", F.xxhash64("doc_id").alias("h"))
         .orderBy(F.col("given").isNull(), "h", "doc_id").limit(sample)
     )
-    drawn = texts.join(F.broadcast(chosen.select("doc_id", "given")), "doc_id").select("doc_id", "text", "source", "given").orderBy("doc_id").toPandas()
+    drawn = texts.select("doc_id", "text", "source").join(F.broadcast(chosen.select("doc_id", "given")), "doc_id").orderBy("doc_id", "text").toPandas()
     model = SubjectModel(listed, passages)
     return model.fit([(t, s, frozenset(g) if g is not None else frozenset()) for t, s, g in zip(drawn["text"], drawn["source"], drawn["given"])])
 
@@ -267,4 +267,6 @@ def subject_shares(texts: DataFrame, labels: DataFrame, areas: DataFrame, items:
             ]
             yield pd.DataFrame(found, columns=["doc_id", "subject", "share"])
 
-    return texts.select("doc_id", "text", "source").mapInPandas(scan, f"doc_id {kind}, subject string, share double")
+    # ids travel as text: whole numbers beside nulls would come as floating point
+    found = texts.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "source").mapInPandas(scan, "doc_id string, subject string, share double")
+    return found.select(F.col("doc_id").cast(kind).alias("doc_id"), "subject", "share")

@@ -23,6 +23,7 @@ from functools import lru_cache
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Nodes of a worker's trie at most (about 250 bytes each).
 NODES = 400_000
@@ -123,4 +124,6 @@ def token_ids(texts: DataFrame, identifier: str, text: str, path: str | None = N
             found = [None if t is None or t != t else t for t in batch[text].tolist()]
             yield pd.DataFrame({identifier: batch[identifier], "ids": encoder(path).encode(found)})
 
-    return texts.select(identifier, text).mapInPandas(encode, f"`{identifier}` {kind}, ids array<int>")
+    # ids travel as text: whole numbers beside nulls would come as floating point
+    named = texts.select(F.col(identifier).cast("string").alias(identifier), text)
+    return named.mapInPandas(encode, f"`{identifier}` string, ids array<int>").select(F.col(identifier).cast(kind).alias(identifier), "ids")
