@@ -17,7 +17,7 @@ Fitting uses at most ``SAMPLE`` documents, labelled ones first, chosen by a hash
 votes, posteriors, shares) covers whole texts of all documents in one pass without shuffle.
 
 Courtesies and references vote for nothing, and quoted evaluation items are left out: passages between ellipses, and
-sentences of which the item automaton covers at least half.
+sentences at least half of which lie in a span where the item automaton follows one item.
 
 Defined cases: null, empty and blank texts have no subject; unknown subjects in the labels are ignored; without any label the
 lexicon starts from the subjects' descriptions alone.
@@ -42,6 +42,9 @@ SHARE = 1 / 6
 #: A lexicon votes if its subject is that sure.
 SURE = 0.8
 ROUNDS = 12
+#: A quotation holds so many different words' places of an item, with so many other words in a row at most.
+QUOTED = 14
+GAP = 10
 FUNCTIONS = ("lexicon", "title", "section", "source", "address")
 
 _LINE = re.compile(r"(?m)^[ \t]*(?:>+[ \t]?)+")
@@ -87,31 +90,52 @@ class SubjectModel:
 
     # ---- sentences ------------------------------------------------------------------------------------------------
     def read(self, text: str | None) -> list[tuple[str, list[str]]]:
-        """The sentences that may count, with their words: quoted items are left out."""
-        out = []
-        for s in sentences(text):
-            words = normalised(s)
-            if len(words) < 2:
-                continue
-            if len(words) >= self.items.stretch:
-                hit, run, n, state = 0, 0, 0, 0
-                nexts, link, length = self.items.next, self.items.link, self.items.length
-                for word in words:
-                    while word not in nexts[state] and state > 0:
-                        state = link[state]
-                        n = length[state]
-                    if word in nexts[state]:
-                        state, n = nexts[state][word], n + 1
-                    else:
-                        n = 0
-                    if n >= self.items.stretch:
-                        hit += n if run < self.items.stretch else 1
-                    run = n
-                if 2 * hit >= len(words):
-                    continue
-            out.append((s, words))
+        """The sentences that may count, with their words: those that lie in a quoted item are left out."""
+        found = [(s, w) for s in sentences(text) if len(w := normalised(s)) >= 2]
+        quoted = self._quoted([w for _, words in found for w in words])
+        out, at = [], 0
+        for s, words in found:
+            inside = sum(quoted[at : at + len(words)]) if quoted else 0
+            at += len(words)
+            if 2 * inside < len(words):
+                out.append((s, words))
         return out
 
+    def _quoted(self, words: list[str]) -> list[bool]:
+        """Which words lie in a quotation: a span without longer gaps that holds QUOTED different places of one item.
+
+        A phrase that text and item share by chance holds few places, however often it comes.
+        """
+        nexts, link, length, window, stretch = self.items.next, self.items.link, self.items.length, self.items.window, self.items.stretch
+        spans: dict[int, list] = {}  # by item: start, end and places of its open span
+        closed: list[tuple[int, int]] = []
+        state = n = 0
+        for i, word in enumerate(words):
+            while word not in nexts[state] and state > 0:
+                state = link[state]
+                n = length[state]
+            if word not in nexts[state]:
+                n = 0
+                continue
+            state, n = nexts[state][word], n + 1
+            if n < stretch:
+                continue
+            for item, end in self.items.ends[window[state]]:
+                span = spans.get(item)
+                if span is None or i - stretch + 1 - span[1] > GAP:
+                    if span is not None and len(span[2]) >= QUOTED:
+                        closed.append((span[0], span[1]))
+                    span = spans[item] = [i - stretch + 1, i, set()]
+                span[1] = i
+                span[2].update(range(end - stretch + 1, end + 1))
+        closed += [(a, b) for a, b, places in spans.values() if len(places) >= QUOTED]
+        if not closed:
+            return []
+        inside = [False] * len(words)
+        for a, b in closed:
+            inside[a : b + 1] = [True] * (b + 1 - a)
+        return inside
+
     # ---- fitting --------------------------------------------------------------------------------------------------
     def fit(self, documents: list[tuple[str | None, str | None, frozenset[str]]]) -> SubjectModel:
         """documents: text, source, subjects given by hand (none for an unlabelled one)."""
