@@ -34,11 +34,14 @@ def numbered(changes: DataFrame, events: DataFrame, span: int = SPAN) -> tuple[D
         .unionByName(events.select("entity", "at", F.lit(None).cast("long").alias("rank"), "event"))
         .where("entity IS NOT NULL AND at IS NOT NULL")
         .withColumn("span", F.floor(F.col("at") / span))
+        .where("span IS NOT NULL")
+        .repartition("entity", "span")
     )
     change = F.col("rank").isNotNull()
     before = Window.partitionBy("entity").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
-    # spans are counted over the changes; a span without change continues the one before it
-    spans = rows.groupBy("entity", "span").agg(F.count("rank").alias("n"), F.max("rank").alias("top"))
+    # a span without change continues the one before it.  All three uses below read every column of the rows, so that they
+    # are the same plan up to their one exchange, which then runs once
+    spans = rows.groupBy("entity", "span").agg(F.count("rank").alias("n"), F.max("rank").alias("top"), F.count("event").alias("events"), F.max("at").alias("last")).where("n > 0 OR (events > 0 AND last IS NOT NULL)")
     offsets = spans.select("entity", "span", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"), F.max("top").over(before).alias("base_top"))
     upto = Window.partitionBy("entity", "span").orderBy("at", F.col("rank").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
     counted = (
@@ -49,7 +52,7 @@ def numbered(changes: DataFrame, events: DataFrame, span: int = SPAN) -> tuple[D
         .withColumn("effective", F.greatest("base_top", "here_top"))
     )
     return (
-        counted.where(change).select("entity", "version", "effective"),
+        counted.where(change & F.col("event").isNull()).select("entity", "version", "effective"),
         counted.where(~change & (F.col("version") > 0)).select("entity", "event", "version"),
     )
 
