@@ -248,3 +248,44 @@ def test_trend_and_bands(spark):
     assert last.dq_score_7d_avg == 6.0 and last.dq_score_dod_delta == 1.0
     bands = spark.createDataFrame([(s,) for s in (None, 579, 580, 669, 670, 739, 740, 799, 800)], "s int").select(marts.risk_band(F.col("s"))).collect()
     assert [r[0] for r in bands] == ["UNKNOWN", "POOR", "FAIR", "FAIR", "GOOD", "GOOD", "VERY_GOOD", "VERY_GOOD", "EXCELLENT"]
+
+
+def test_snapshots_are_stable_and_written(day, spark, tmp_path):
+    from decisionlake.operators import fuse
+
+    raw = {"aecb": (day["bureau"], "aecb_report_ref", "aecb_report_ref")}
+    take = lambda when: {r.decision_id: r for r in fuse.snapshots(day["fused"], raw, "root", F.lit(when).cast("timestamp_ntz")).collect()}
+    a, b = take("2025-04-01 10:00:00"), take("2026-01-01 00:00:00")
+    assert len(a) == 8 and all(a[k].content_sha256 == b[k].content_sha256 for k in a) and len({r.content_sha256 for r in a.values()}) == 8
+    one = next(iter(a.values()))
+    assert one.snapshot_uri.startswith("root/decision_date=2025-04-01/decision_id=") and str(one.retain_until) == "2032-04-01" and one.aecb_sha256
+    fuse.write_snapshots(fuse.snapshots(day["fused"], raw, "root", F.lit("2025-04-01 10:00:00").cast("timestamp_ntz")), str(tmp_path / "s"))
+    assert spark.read.text(str(tmp_path / "s")).count() == 8
+    trail = marts.audit_trail(day["fused"], spark.createDataFrame([(one.decision_id, one.snapshot_uri, one.content_sha256, one.retain_until)], "decision_id string, snapshot_uri string, content_sha256 string, retain_until date"))
+    assert trail.where("snapshot_missing").count() == 7
+
+
+def test_partitioned_writes_replace_their_days(spark, tmp_path):
+    df = lambda *rows: spark.createDataFrame(list(rows), "v int, ingest_date string")
+    tables.write_partitioned(df((1, "d1"), (2, "d2")), str(tmp_path / "w"))
+    tables.write_partitioned(df((3, "d2")), str(tmp_path / "w"))
+    assert sorted(r.v for r in spark.read.parquet(str(tmp_path / "w")).collect()) == [1, 3]
+    loaded = tables.audited(df((1, "d")), "AECB", "b1", F.lit("2025-01-01").cast("timestamp"))
+    assert loaded.columns[-4:] == ["source_system", "batch_id", "created_timestamp", "updated_timestamp"]
+
+
+def test_stream_of_files_and_once_within(spark, tmp_path):
+    schema = "id string, at timestamp, ingest_date string"
+    rows = [("a", dt.datetime(2025, 1, 1), "d1"), ("a", dt.datetime(2025, 1, 1, 1), "d1"), (None, dt.datetime(2025, 1, 1), "d2")]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    kinds = spark.createDataFrame([], schema).schema
+    cdc.follow_files(spark, str(tmp_path / "in"), kinds, str(tmp_path / "out"), str(tmp_path / "cp"), F.col("id").isNotNull()).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out" / "ingest_date=d1")).count() == 2 and spark.read.parquet(str(tmp_path / "out" / "_rejected")).count() == 1
+    once = cdc.once_within(spark.readStream.schema(kinds).parquet(str(tmp_path / "in")).where("id IS NOT NULL"), "id", "at")
+    once.writeStream.format("memory").queryName("once").trigger(availableNow=True).start().awaitTermination()
+    assert spark.table("once").count() == 1
+
+
+def test_queues_and_metrics(day):
+    assert {r.metric for r in pipeline.metrics(day["card"]).collect()} >= {"dq_score", "passed_count"}
+    assert marts.queue_size(day["queue"]).first().records == 1
