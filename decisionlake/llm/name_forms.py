@@ -175,11 +175,26 @@ def parse_name(name: str | None) -> list[Reading]:
     return found
 
 
-def joined(name: str | None) -> str:
-    """The whole name as one word, for names whose spaces were lost; honorifics go, a surname before a comma moves back."""
+def joined(name: str | None) -> list[str]:
+    """The whole name as one word, for names whose spaces were lost or moved; the first form is the plainest.
+
+    Honorifics go and a surname before a comma moves back; further forms have a nickname's full name, and no middle names.
+    """
     text = plain(name)
     head, comma, tail = text.partition(",")
     words = (_tokens(tail) + _tokens(head)) if comma and tail.strip() else _tokens(text)
     if words and words[0] in HONORIFICS:
         words = words[1:]
-    return sounds("".join(words))
+    if not words:
+        return []
+    forms = [sounds("".join(words))]
+    full = [NICKNAMES.get(words[0], words[0]), *words[1:]]
+    more = [full]
+    start = next((i for i, t in enumerate(words) if t in PARTICLES), 0)
+    if 1 < start < len(words) - 1:  # a particle says where the surname begins: what stands between may be missing elsewhere
+        more.append(full[:1] + full[start:])
+    for form in more:
+        form = sounds("".join(form))
+        if form not in forms:
+            forms.append(form)
+    return forms

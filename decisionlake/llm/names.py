@@ -7,7 +7,7 @@ Every distinct spelling is read in all ways that the rules of ``name_forms`` all
 2. *Keys.*  A key is a (given, surname) pair.  Keys meet by an equi-join on exploded forms: one letter dropped from either
    part (two parts within one edit share such a form), or the whole name written as one word.  Each key is tied to the
    best-supported key of its form, never to all of them.  A tie by edit counts only if it is rare: the differing part
-   occurs in few keys, or the middle names agree; and it is void if the middle names differ.
+   occurs in few keys, or in far fewer than the part beside which it stands; and it is void if the middle names differ.
 3. *Initials.*  A spelling with an initial joins the keys with that initial and surname, and is linked if they are one
    entity: the rewriting "initial" is as rare as it needs to be.  Its middle name or initial must agree.
 
@@ -37,15 +37,15 @@ RARER = 5
 #: Most rounds of pointer doubling; a chain of 2^ROUNDS ties would be needed to outrun it, and that is checked.
 ROUNDS = 12
 
-_READ = "name string, word string, readings array<struct<given:string,middle:string,surname:string,cost:int,written:string>>"
+_READ = "name string, words array<string>, readings array<struct<given:string,middle:string,surname:string,cost:int,written:string>>"
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         names = batch["name"].tolist()
         readings = [[r._asdict() for r in parse_name(n)] for n in names]
-        out = pd.DataFrame({"name": names, "word": [joined(n) for n in names], "readings": readings})
-        yield out[out["word"] != ""]
+        out = pd.DataFrame({"name": names, "words": [joined(n) for n in names], "readings": readings})
+        yield out[out["words"].map(len) > 0]
 
 
 def one_letter_less(token: str) -> Column:
@@ -63,7 +63,7 @@ def near(a: Column, b: Column) -> Column:
 
 
 def spellings(*columns: DataFrame) -> DataFrame:
-    """``name, word, readings``: the distinct spellings of one-column frames that are names, read."""
+    """``name, words, readings``: the distinct spellings of one-column frames that are names, read."""
     names = columns[0].toDF("name")
     for other in columns[1:]:
         names = names.unionByName(other.toDF("name"))
@@ -71,8 +71,8 @@ def spellings(*columns: DataFrame) -> DataFrame:
 
 
 def _ordered(read: DataFrame) -> DataFrame:
-    """``name, word, given, middle, surname, written``: one reading of each spelling that has any."""
-    natural = read.where(F.size("readings") > 0).select("name", "word", "readings", F.col("readings")[0].alias("n"))
+    """``name, words, given, middle, surname, written``: one reading of each spelling that has any."""
+    natural = read.where(F.size("readings") > 0).select("name", "words", "readings", F.col("readings")[0].alias("n"))
     full = natural.where(F.length("n.given") > 1)
     support = full.groupBy(F.col("n.given").alias("given"), F.col("n.surname").alias("surname")).agg(F.count("*").alias("support"))
     first = natural.groupBy(F.col("n.given").alias("token")).agg(F.count("*").alias("f"))
@@ -81,7 +81,7 @@ def _ordered(read: DataFrame) -> DataFrame:
 
     sure = natural.where(~F.exists("readings", lambda r: r["surname"] != F.col("n.surname")))
     doubtful = natural.join(sure.select("name"), "name", "left_anti")
-    each = doubtful.select("name", "word", F.col("n.given").alias("a"), F.col("n.surname").alias("z"), F.posexplode("readings").alias("at", "r")).select("name", "word", "a", "z", "at", "r.*")
+    each = doubtful.select("name", "words", F.col("n.given").alias("a"), F.col("n.surname").alias("z"), F.posexplode("readings").alias("at", "r")).select("name", "words", "a", "z", "at", "r.*")
     each = each.join(support, ["given", "surname"], "left")
     each = each.join(role.select(F.col("token").alias("a"), F.col("role").alias("ra")), "a", "left").join(role.select(F.col("token").alias("z"), F.col("role").alias("rz")), "z", "left")
     is_natural = F.col("surname") == F.col("z")
@@ -93,8 +93,8 @@ def _ordered(read: DataFrame) -> DataFrame:
         (-F.col("at")).alias("first"),
     )
     # where both orders are shared, the roles decide
-    best = each.groupBy("name", "word").agg(F.max_by(F.struct("given", "middle", "surname", "written"), score).alias("r"))
-    return sure.select("name", "word", "n.given", "n.middle", "n.surname", "n.written").unionByName(best.select("name", "word", "r.*"))
+    best = each.groupBy("name", "words").agg(F.max_by(F.struct("given", "middle", "surname", "written"), score).alias("r"))
+    return sure.select("name", "words", "n.given", "n.middle", "n.surname", "n.written").unionByName(best.select("name", "words", "r.*"))
 
 
 def _keys(ordered: DataFrame) -> DataFrame:
@@ -130,8 +130,8 @@ def _parents(ordered: DataFrame, keys: DataFrame) -> DataFrame:
     rare = (few <= RARE) | (few * RARER <= many)
     ours, theirs = F.col("middle"), F.col("to.middle")
     agree = near(ours, theirs) | ours.startswith(theirs) | theirs.startswith(ours)
-    edits = anchored.where(met & F.coalesce(agree, rare)).where(rare | F.coalesce(agree, F.lit(False)))
-    words = ordered.where(F.length("given") > 1).select(F.concat_ws("|", "given", "surname").alias("key"), "word").distinct().join(ranked.select("key", "rank"), "key")
+    edits = anchored.where(met & rare & F.coalesce(agree, F.lit(True)))
+    words = ordered.where((F.length("given") > 1) & ~F.col("given").startswith("#")).select(F.concat_ws("|", "given", "surname").alias("key"), F.explode("words").alias("word")).distinct().join(ranked.select("key", "rank"), "key")
     same = words.withColumn("to", F.max("rank").over(Window.partitionBy("word"))).where("to > rank")
     ties = edits.select("key", "to.rank").unionByName(same.select("key", F.col("to").alias("rank")))
     return ties.groupBy("key").agg(F.max("rank")["key"].alias("parent"))
@@ -172,7 +172,7 @@ def entities(read: DataFrame) -> DataFrame:
     # what is left is its own reading
     own = initials.select("name", F.concat_ws("|", F.lit("~"), "given", "middle", "surname").alias("reading"))
     rest = read.join(whole.select("name").unionByName(linked.select("name")), "name", "left_anti").join(own, "name", "left")
-    alone = rest.select("name", F.coalesce("reading", "word").alias("entity"), F.lit("alone").alias("rule"), F.lit(1.0).alias("rarity"))
+    alone = rest.select("name", F.coalesce("reading", F.get("words", F.lit(0))).alias("entity"), F.lit("alone").alias("rule"), F.lit(1.0).alias("rarity"))
     return whole.unionByName(linked).unionByName(alone)
 
 
