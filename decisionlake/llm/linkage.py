@@ -56,10 +56,13 @@ def birth_date(text: Column) -> Column:
 
 
 def email_key(email: Column) -> Column:
-    """Lower case without white space, tag after a plus and doubled dots; null for what has no @."""
+    """Lower case without white space, tag after a plus and doubled dots; null for blanks and placeholders.
+
+    A typed address may have lost its @, so that isn't asked for.
+    """
     e = F.regexp_replace(F.lower(email), r"\s", "")
     e = F.regexp_replace(F.regexp_replace(e, r"\+[^@]*@", "@"), r"\.{2,}", ".")
-    return F.when(e.contains("@"), e)
+    return F.when(e.contains("@") | ((F.length(e) > 8) & e.contains(".")), e)
 
 
 def record_key(identifier: Column) -> Column:
