@@ -226,6 +226,12 @@ ORACLES = {
     "p6_found": """
         SELECT internal_customer_uuid, max(cdc_lsn) AS cdc_lsn FROM customer_profile_raw WHERE internal_customer_uuid IS NOT NULL AND cdc_lsn IS NOT NULL
         GROUP BY 1 HAVING max(cdc_lsn) > coalesce(max(cdc_lsn) FILTER (lower(trim(cdc_op)) = 'd'), -1)""",
+    "p6_state": """
+        WITH e AS (SELECT internal_customer_uuid AS k, max(cdc_lsn) AS l, coalesce(max(cdc_lsn) FILTER (lower(trim(cdc_op)) = 'd'), -1) AS g FROM customer_profile_raw
+              WHERE internal_customer_uuid IS NOT NULL AND cdc_lsn IS NOT NULL GROUP BY 1 HAVING l > g),
+        a AS (SELECT k, arg_max_null(address, cdc_lsn) AS known FROM customer_profile_raw JOIN e ON k = internal_customer_uuid WHERE cdc_lsn > g AND address IS DISTINCT FROM '__unavailable_value' GROUP BY 1),
+        r AS (SELECT * FROM customer_profile_raw JOIN e ON k = internal_customer_uuid AND l = cdc_lsn QUALIFY row_number() OVER (PARTITION BY k ORDER BY ingested_timestamp) = 1)
+        SELECT r.* EXCLUDE (k, l, g) REPLACE (CASE WHEN r.address = '__unavailable_value' THEN a.known ELSE r.address END AS address) FROM r LEFT JOIN a USING (k)""",
     "p7_found": """
         WITH d AS (SELECT decision_id, min(ts) AS ts, arg_min(uuid, ts) AS uuid FROM (
               SELECT decision_id, internal_customer_uuid AS uuid, CASE WHEN regexp_matches(t, '(Z|[+-]\\d\\d:\\d\\d)$') THEN TRY_CAST(t AS TIMESTAMPTZ) ELSE TRY_CAST(t || '+04:00' AS TIMESTAMPTZ) END AS ts
