@@ -2,7 +2,7 @@
 
 A variable is a candidate pair (record descriptor, customer).  Two factors bind the variables: a descriptor concerns at most
 one customer, and a customer has at most one identity of a source (all its descriptors of one *slot*, such as one person's
-spellings, belong together).  Messages are exchanged through aggregations and equi-joins until the marginals settle:
+spellings, belong together; so do names of a customer that agree in birth date or are compatible).  Messages are exchanged through aggregations and equi-joins until the marginals settle:
 
 * to a variable from its descriptor: minus log(1 + sum of the odds of the descriptor's other customers),
 * to a variable from its customer: minus log(1 + sum over the customer's other slots of the best odds there).
@@ -69,6 +69,20 @@ def record_key(identifier: Column) -> Column:
     return F.nullif(F.upper(F.trim(identifier)), F.lit(""))
 
 
+def _slotted(pairs: DataFrame) -> DataFrame:
+    """With ``slot``: the entities of a customer that are one person's have one slot, so that they aren't rivals.
+
+    They are if they are the customer's ``own`` (a birth date agrees, or the feed writes one beside the name), or if given
+    name and surname begin alike with such a one, or with one another, in either order.
+    """
+    part = lambda i: F.get(F.split("entity", r"\|"), F.lit(i))
+    outer = F.when(F.col("entity").startswith("~|"), F.array(part(1), part(3))).when(F.col("entity").contains("|"), F.array(part(0), part(1)))
+    kin = F.coalesce(F.array_join(F.array_sort(F.transform(outer, lambda w: F.substring(w, 1, 1))), "|"), F.col("entity"))
+    pairs = pairs.withColumn("kin", kin)
+    own = pairs.groupBy("customer", "kin").agg(F.max("own").alias("any"))
+    return pairs.join(own, ["customer", "kin"]).withColumn("slot", F.when(F.col("any"), F.lit("own")).otherwise(F.col("kin"))).drop("kin", "any")
+
+
 def _winners(candidates: DataFrame) -> DataFrame:
     return marginals(candidates).where("probability > 0.5")
 
@@ -92,8 +106,10 @@ def screening_links(screenings: DataFrame, feed: DataFrame) -> DataFrame:
 
     pairs = by_name.unionByName(by_birth).groupBy("descriptor", "entity", "born", "customer").agg(F.max("name_odds").alias("name_odds"))
     agreed = pairs.join(births.withColumn("agrees", F.lit(True)), ["customer", "born"], "left")
+    dated = customers.where("born IS NOT NULL").select("customer", "entity").distinct().withColumn("dated", F.lit(True))
+    agreed = _slotted(agreed.join(dated, ["customer", "entity"], "left").withColumn("own", F.coalesce("agrees", "dated", F.lit(False))))
     prior = F.col("name_odds") + F.when(F.col("born").isNull(), 0.0).when(F.col("agrees"), 3.0).otherwise(-3.0)
-    won = _winners(agreed.select("descriptor", "customer", F.col("entity").alias("slot"), prior.alias("prior")))
+    won = _winners(agreed.select("descriptor", "customer", "slot", prior.alias("prior")))
     return records.select("record_key", "descriptor").distinct().join(won, "descriptor").groupBy(F.col("customer").alias("internal_customer_uuid"), "record_key").agg(F.max("probability").alias("confidence"))
 
 

@@ -64,6 +64,15 @@ def test_links(spark, feed):
     assert linkage.customer_links(aml.limit(0), fraud.limit(0), aecb.limit(0), feed.limit(0)).count() == 0
 
 
+def test_names_of_one_customer_are_no_rivals(spark):
+    rows = [("u1", "Lorenzo Vasanti Sinsosrir", "1980-09-04"), ("u1", "Rashid Gilgemses", "1980-09-04"), ("u2", "Omar Lucas Polwutim", "1985-05-06"), ("u3", "Oscar Hugo Polwutim", "1970-05-06")]
+    feed = spark.createDataFrame(rows, "internal_customer_uuid string, full_name string, date_of_birth string")
+    asked = [("A1", "Lorenzo Sinsosrir", "1980-09-04"), ("A2", "Gilgemses, Rashid", "04/09/1980"), ("A3", "Omar Lucas Polwutim", "1985-05-06"), ("A4", "O. Polwutim", "06/05/1985"), ("A5", "O. Polwutim", "1970-05-06"), ("A6", "O. Polwutim", None), ("A7", "Rashid Gilgemses", None)]
+    aml = spark.createDataFrame(asked, "screening_ref string, full_name string, date_of_birth string")
+    got = {(r.internal_customer_uuid, r.record_key) for r in linkage.screening_links(aml, feed).collect()}
+    assert got == {("u1", "A1"), ("u1", "A2"), ("u1", "A7"), ("u2", "A3"), ("u2", "A4"), ("u3", "A5")}
+
+
 def test_links_over_a_table_agree_with_plain_rules(spark, small):
     """Bureau reports and exact e-mails, found again without the operator."""
     t = {n: table(spark, small, n).toPandas() for n in ("fraud_raw", "aecb_credit_report", "customer_profile_raw")}
