@@ -13,8 +13,8 @@ subject.  The latent model (one accuracy and one abstention rate per function, b
 votes, as for several raters) turns the votes of a sentence into posterior subject probabilities.  A document has the subjects
 that are the likeliest of at least ``SHARE`` of its sentences about any subject.
 
-Fitting uses at most ``SAMPLE`` documents, labelled ones first, chosen by a hash of their id; everything else (sentences,
-votes, posteriors, shares) covers whole texts of all documents in one pass without shuffle.
+Fitting reads all documents too: the vocabulary, the sums of each round of expectation maximisation, the leanings of the
+sources and the patterns of votes are aggregates over every document, labelled or not.
 
 Courtesies and references vote for nothing, and quoted evaluation items are left out: passages between ellipses, and
 sentences at least half of which lie in a span where the item automaton follows one item.
@@ -36,8 +36,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from decisionlake.llm.contamination import ItemAutomaton, normalised
+from decisionlake.session import cut
 
-SAMPLE = 6_000
+#: The lexicon keeps so many terms, the commonest of all documents, so that it fits each worker.
+VOCABULARY = 200_000
 SHARE = 1 / 6
 #: A lexicon votes if its subject is that sure.
 SURE = 0.8
@@ -137,62 +139,46 @@ class SubjectModel:
         return inside
 
     # ---- fitting --------------------------------------------------------------------------------------------------
-    def fit(self, documents: list[tuple[str | None, str | None, frozenset[str]]]) -> SubjectModel:
-        """documents: text, source, subjects given by hand (none for an unlabelled one)."""
+    def coded(self, text: str | None) -> tuple[list[int], list[int], list[int]]:
+        """The known terms of all sentences, and for each how many; title words as sentence * subjects + subject."""
+        ids, lengths, titled = [], [], []
+        for _, words in self.read(text):
+            own = [i for t in terms(words) if (i := self.vocabulary.get(t)) is not None]
+            if own:
+                titled += [len(lengths) * len(self.subjects) + self.titles[w] for w in words if w in self.titles]
+                ids += own
+                lengths.append(len(own))
+        return ids, lengths, titled
+
+    def expected(self, coded: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of coded documents: term and sentence of each occurrence; posterior and document of each sentence."""
         k = len(self.subjects)
-        word_of, sentence_of, allowed, by_document, sources = [], [], [], [], []
-        seen: Counter = Counter()
-        held = [(i, source, given & self.at.keys(), self.read(text)) for i, (text, source, given) in enumerate(documents)]
-        for _, _, _, found in held:
-            for _, words in found:
-                seen.update(set(terms(words)))
-        self.vocabulary = {t: i for i, t in enumerate(sorted(t for t, n in seen.items() if n >= 2))}
-        for i, source, given, found in held:
-            may = np.full(k + 1, 0.03 if given else 1.0)
-            may[[self.at[s] for s in given]] = 1.0
-            may[k] = 0.4 if given else 1.0
-            for _, words in found:
-                ids = [self.vocabulary[t] for t in terms(words) if t in self.vocabulary]
-                if ids:
-                    word_of += ids
-                    sentence_of += [len(allowed)] * len(ids)
-                    boost = np.ones(k + 1)
-                    for w in words:
-                        if w in self.titles:
-                            boost[self.titles[w]] += 2.0
-                    allowed.append(may * boost)
-                    by_document.append(i)
-                    sources.append((source, bool(given)))
-        if not allowed:
-            return self
-        w, s, allow = np.array(word_of), np.array(sentence_of), np.array(allowed)
-        labelled = np.array([g for _, g in sources])
-        trust = np.where(labelled, 1.0, 0.0 if labelled.any() else 1.0)
-        posterior = allow / allow.sum(1, keepdims=True)
-        v = len(self.vocabulary)
-        for r in range(ROUNDS):
-            if r >= 3:  # unlabelled sentences join once the labelled ones have taught the words
-                trust = np.where(labelled, 1.0, 0.5)
-            use = posterior * trust[:, None]
-            phi = np.stack([np.bincount(w, use[s, c], v) for c in range(k + 1)], 1) + 0.02
-            self.weights = np.log(phi / phi.sum(0))
-            self.prior = (use.sum(0) + 1) / (use.sum() + k + 1)
-            score = np.zeros((len(allow), k + 1))
-            np.add.at(score, s, self.weights[w])
-            score += np.log(self.prior) + np.log(allow)
-            score = np.exp(score - score.max(1, keepdims=True))
-            posterior = score / score.sum(1, keepdims=True)
-        lean: dict[str, np.ndarray] = {}
-        for (source, _), p in zip(sources, posterior):
-            if source is not None:
-                lean[source] = lean.get(source, np.zeros(k)) + p[:k]
-        self.sources = {c: int(p.argmax()) for c, p in lean.items()}
-        self._learn_accuracy([self.votes(found, source) for _, source, _, found in held if found])
-        return self
-
-    def _learn_accuracy(self, documents: list[np.ndarray]) -> None:
-        votes = np.concatenate(documents) if documents else np.zeros((0, len(FUNCTIONS)), int)
-        votes = votes[(votes >= 0).any(1)]
+        lengths = [np.asarray(x, int) for x in coded["lengths"]]
+        w = np.concatenate([np.asarray(x, int) for x in coded["ids"]])
+        doc = np.repeat(np.arange(len(coded)), [len(x) for x in lengths])
+        s = np.repeat(np.arange(len(doc)), np.concatenate(lengths))
+        may = np.ones((len(coded), k + 1))
+        for n, given in enumerate(coded["given"]):
+            if len(given):
+                may[n] = 0.03
+                may[n, np.asarray(given, int)] = 1.0
+                may[n, k] = 0.4
+        boost, at = np.ones((len(doc), k + 1)), 0
+        for n, hits in zip(map(len, lengths), coded["titled"]):
+            for h in hits:
+                boost[at + h // k, h % k] += 2.0
+            at += n
+        allow = may[doc] * boost
+        if not len(self.weights):
+            return w, s, allow / allow.sum(1, keepdims=True), doc
+        score = np.stack([np.bincount(s, self.weights[w, c], len(doc)) for c in range(k + 1)], 1) + np.log(self.prior) + np.log(allow)
+        score = np.exp(score - score.max(1, keepdims=True))
+        return w, s, score / score.sum(1, keepdims=True), doc
+
+    def learn_accuracy(self, votes: np.ndarray, times: np.ndarray) -> None:
+        """From the patterns of votes that occur, and how often each does."""
+        spoken = (votes >= 0).any(1)
+        votes, times = votes[spoken], times[spoken]
         if not len(votes):
             return
         k = len(self.subjects)
@@ -200,8 +186,8 @@ class SubjectModel:
             p = self._posterior(votes)
             for j in range(len(FUNCTIONS)):
                 spoke = votes[:, j] >= 0
-                right = p[spoke, votes[spoke, j]].sum()
-                self.accuracy[j] = min(0.99, max(1 / k, (right + 1) / (spoke.sum() + 1 + 1 / 0.7)))
+                right = (p[spoke, votes[spoke, j]] * times[spoke]).sum()
+                self.accuracy[j] = min(0.99, max(1 / k, (right + 1) / (times[spoke].sum() + 1 + 1 / 0.7)))
 
     def _posterior(self, votes: np.ndarray) -> np.ndarray:
         k = len(self.subjects)
@@ -260,19 +246,92 @@ class SubjectModel:
         return {self.subjects[i]: best[i] / len(votes) for i in np.nonzero(best)[0]}
 
 
-def fitted(texts: DataFrame, labels: DataFrame, areas: DataFrame, items: DataFrame, sample: int = SAMPLE) -> SubjectModel:
-    """The model, from at most ``sample`` documents, labelled ones first."""
+def _scan(df: DataFrame, model: SubjectModel, each, schema: str) -> DataFrame:
+    """The rows that ``each(model, batches)`` makes of every partition."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    return df.mapInPandas(lambda batches: each(shared.value, batches), schema)
+
+
+def _terms(model: SubjectModel, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        seen: Counter = Counter()
+        for text in batch["text"]:
+            for _, words in model.read(text):
+                seen.update(set(terms(words)))
+        yield pd.DataFrame({"term": list(seen), "n": list(seen.values())})
+
+
+def _code(model: SubjectModel, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = [(c, [model.at[g] for g in given if g in model.at] if given is not None else [], *model.coded(t)) for t, c, given in zip(batch["text"], batch["source"], batch["given"])]
+        yield pd.DataFrame([r for r in rows if r[3]], columns=["source", "given", "ids", "lengths", "titled"])
+
+
+def _maximise(trust: float):
+    """Sums of posteriors by term; those of sentences under term -1. trust: the weight of unlabelled sentences."""
+
+    def each(model: SubjectModel, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        k, v = len(model.subjects), len(model.vocabulary)
+        sums = np.zeros((v + 1, k + 1))
+        for batch in batches:
+            if len(batch):
+                w, s, posterior, doc = model.expected(batch)
+                use = posterior * np.where(np.array([len(g) > 0 for g in batch["given"]]), 1.0, trust)[doc][:, None]
+                sums[:v] += np.stack([np.bincount(w, use[s, c], v) for c in range(k + 1)], 1)
+                sums[v] += use.sum(0)
+        used = np.nonzero(sums.any(1))[0]
+        yield pd.DataFrame(np.column_stack([np.where(used == v, -1, used), sums[used]]), columns=["term", *[f"c{c}" for c in range(k + 1)]]).astype({"term": "int64"})
+
+    return each
+
+
+def _lean(model: SubjectModel, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    k = len(model.subjects)
+    for batch in batches:
+        if len(batch):
+            _, _, posterior, doc = model.expected(batch)
+            by_doc = np.stack([np.bincount(doc, posterior[:, c], len(batch)) for c in range(k)], 1)
+            yield pd.DataFrame(by_doc, columns=[f"c{c}" for c in range(k)]).groupby(batch["source"].to_numpy()).sum().rename_axis("source").reset_index()
+
+
+def _vote(model: SubjectModel, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        seen: Counter = Counter()
+        for text, source in zip(batch["text"], batch["source"]):
+            seen.update(map(tuple, model.votes(model.read(text), source).tolist()))
+        yield pd.DataFrame([(*v, n) for v, n in seen.items()], columns=[*FUNCTIONS, "n"])
+
+
+def fitted(texts: DataFrame, labels: DataFrame, areas: DataFrame, items: DataFrame) -> SubjectModel:
+    """The model, from all documents: what is collected are sums by term, by source and by pattern of votes."""
     listed = [(r[0], f"{r[0]} {r[1] or ''} {r[2] or ''}") for r in areas.select("subject", "title", "description").collect() if r[0]]  # the fixed list of subjects
     passages = [r[0] for r in items.select("passage").collect() if r[0]]  # the fixed test set
-    given = labels.where("doc_id IS NOT NULL AND subject IS NOT NULL").groupBy("doc_id").agg(F.collect_set("subject").alias("given"))
-    chosen = (
-        texts.select("doc_id", "text", "source").where("text IS NOT NULL").join(given, "doc_id", "left")
-        .select("doc_id", "given", F.xxhash64("doc_id").alias("h"))
-        .orderBy(F.col("given").isNull(), "h", "doc_id").limit(sample)
-    )
-    drawn = texts.select("doc_id", "text", "source").join(F.broadcast(chosen.select("doc_id", "given")), "doc_id").orderBy("doc_id", "text").toPandas()
     model = SubjectModel(listed, passages)
-    return model.fit([(t, s, frozenset(g) if g is not None else frozenset()) for t, s, g in zip(drawn["text"], drawn["source"], drawn["given"])])
+    k = len(model.subjects)
+    given = labels.where("doc_id IS NOT NULL AND subject IS NOT NULL").groupBy("doc_id").agg(F.collect_set("subject").alias("given"))
+    written = texts.where("text IS NOT NULL").select("doc_id", "text", "source")
+    counts = _scan(written.select("text"), model, _terms, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).where("n >= 2")
+    model.vocabulary = {t: i for i, t in enumerate(sorted(r[0] for r in counts.orderBy(F.desc("n"), "term").limit(VOCABULARY).collect()))}
+    coded = cut(_scan(written.join(given, "doc_id", "left").select("text", "source", "given"), model, _code, "source string, given array<int>, ids array<int>, lengths array<int>, titled array<int>"))
+    if coded.isEmpty():
+        return model
+    taught = coded.where("size(given) > 0")
+    some = not taught.isEmpty()
+    columns = [f"c{c}" for c in range(k + 1)]
+    for r in range(ROUNDS):
+        # unlabelled sentences join once the labelled ones have taught the words
+        over, trust = (coded, 0.5) if r >= 3 else (taught, 0.0) if some else (coded, 1.0)
+        sums = _scan(over, model, _maximise(trust), "term long, " + ", ".join(f"{c} double" for c in columns)).groupBy("term").agg(*[F.sum(c).alias(c) for c in columns]).toPandas()
+        use = np.zeros((len(model.vocabulary) + 1, k + 1))
+        use[sums["term"].to_numpy()] = sums[columns].to_numpy()  # term -1 is the last row
+        phi = use[:-1] + 0.02
+        model.weights = np.log(phi / phi.sum(0))
+        model.prior = (use[-1] + 1) / (use[-1].sum() + k + 1)
+    lean = _scan(coded.where("source IS NOT NULL"), model, _lean, "source string, " + ", ".join(f"{c} double" for c in columns[:k])).groupBy("source").agg(*[F.sum(c).alias(c) for c in columns[:k]])
+    model.sources = {r[0]: int(np.argmax(r[1:])) for r in lean.collect()}
+    votes = _scan(written.select("text", "source"), model, _vote, ", ".join(f"{f} int" for f in FUNCTIONS) + ", n long").groupBy(*FUNCTIONS).agg(F.sum("n").alias("n")).orderBy(*FUNCTIONS).toPandas()
+    model.learn_accuracy(votes[list(FUNCTIONS)].to_numpy(int), votes["n"].to_numpy(float))
+    return model
 
 
 def subject_shares(texts: DataFrame, labels: DataFrame, areas: DataFrame, items: DataFrame) -> DataFrame:

@@ -139,6 +139,16 @@ def test_subjects(spark):
     assert not {900, 901, 902, 903} & got.keys()
 
 
+def test_subjects_are_learned_from_all_documents(spark):
+    word = lambda n: "w" + "".join(chr(97 + n // 26**i % 26) for i in range(3))
+    texts = spark.createDataFrame([(i, f"Limits {word(i // 2)}.", f"s{i // 2}") for i in range(6_200)], "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(0, "credit"), (1, "credit")], "doc_id long, subject string")
+    areas = spark.createDataFrame([("credit", "Credit", "limits"), ("fraud", "Fraud", "cards")], "subject string, title string, description string")
+    model = subjects.fitted(texts, labels, areas, spark.createDataFrame([], "passage string"))
+    assert {word(i) for i in range(3_100)} <= model.vocabulary.keys()
+    assert len(model.sources) == 3_100
+
+
 def test_sentences():
     assert subjects.sentences("[18:20] desk: One two.\n[19:00] A: Three four?") == ["One two.", "Three four?"]
     assert subjects.sentences("> One\n> two. Three") == ["One two.", "Three"]
