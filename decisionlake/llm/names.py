@@ -6,13 +6,13 @@ Every distinct spelling is read in all ways that the rules of ``name_forms`` all
    the roles in which its outer words stand elsewhere in the corpus.
 2. *Keys.*  A key is a (given, surname) pair.  Keys meet by an equi-join on exploded forms: one letter dropped from either
    part (two parts within one edit share such a form), or the whole name written as one word.  Each key is tied to the
-   best-supported key of its form, never to all of them.  A tie by edit counts only if it is rare: the differing part
+   best-supported of the keys that pass, never to all of them.  A tie by edit counts only if it is rare: the differing part
    occurs in few keys, or in far fewer than the part beside which it stands; and it is void if the middle names differ.
 3. *Initials.*  A spelling with an initial joins the keys with that initial and surname, and is linked if they are one
    entity: the rewriting "initial" is as rare as it needs to be.  Its middle name or initial must agree.
 
-Links form stars, so an entity is found by following parents (pointer doubling); nothing is collected to the driver, and no
-pairs within a group are made until the result itself is pairs.
+Links form stars, so an entity is found by following parents (pointer doubling); nothing is collected to the driver, and pairs
+are made only of the keys of one form (one part the same, the other all but a letter), until the result itself is pairs.
 
 Defined cases: null, blank and placeholder names have no entity; a spelling that can't be read in two words is linked only
 to spellings that are the same as one word; repeated rows count once; empty tables give no row.
@@ -122,8 +122,9 @@ def _parents(ordered: DataFrame, keys: DataFrame) -> DataFrame:
         less("surname", lambda v: form("s", F.col("given"), v)), less("surname_w", lambda v: form("sw", F.col("given"), v)),
         less("given", lambda v: form("g", v, F.col("surname"))), less("given_w", lambda v: form("gw", v, F.col("surname"))),
     ))).alias("form"))
-    anchor = F.struct("rank", "key", "given", "surname", "middle", "breadth_g", "breadth_s", "given_w", "surname_w")
-    anchored = forms.withColumn("to", F.max(anchor).over(Window.partitionBy("form"))).where("to.rank > rank")
+    # every better key of a form is tried, not only the best: it may fail where the next one passes
+    better = forms.select("form", F.struct("rank", "key", "given", "surname", "middle", "breadth_g", "breadth_s", "given_w", "surname_w").alias("to"))
+    anchored = forms.join(better, "form").where("to.rank > rank")
     by_surname = F.col("form").startswith("s")
     met = F.when(by_surname, near(F.col("surname"), F.col("to.surname")) | near(F.col("surname_w"), F.col("to.surname_w"))).otherwise(near(F.col("given"), F.col("to.given")) | near(F.col("given_w"), F.col("to.given_w")))
     few, many = (F.when(by_surname, f("breadth_s", "to.breadth_s")).otherwise(f("breadth_g", "to.breadth_g")) for f in (F.least, F.greatest))

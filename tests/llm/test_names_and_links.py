@@ -23,6 +23,15 @@ def test_variants_meet_and_others_do_not(spark):
     assert got == {p for ns in PEOPLE.values() for p in itertools.combinations(sorted(ns), 2)}
 
 
+def test_a_better_key_that_fails_does_not_hide_the_next(spark):
+    """Amita shares its form (amia) with Amina, one edit away, and with Lamia, better established but two edits away."""
+    rows = [f"{g} {s}" for g in ("Lamia", "Amina", "Omar") for s in ("Rumsunfor", "Gilgemses", "Polwutim")]
+    rows += ["Rumsunfor, Lamia", "RUMSUNFOR Lamia", "Lamia  Rumsunfor", "Dr Lamia Rumsunfor", "Amita Rumsunfor"]
+    df = spark.createDataFrame([(n,) for n in rows], "full_name string")
+    entity = {r.name: r.entity for r in names.entities(names.spellings(df)).collect()}
+    assert entity["Amita Rumsunfor"] == entity["Amina Rumsunfor"] != entity["Lamia Rumsunfor"]
+
+
 def test_no_names(spark):
     df = spark.createDataFrame([(None,), (" ",), ("tbc",)], "full_name string")
     assert names.entities(names.spellings(df)).count() == 0
