@@ -98,8 +98,10 @@ def exactly_once(messages: DataFrame, identifier: str, time: str, bucket: str =
     """
     columns = messages.columns
     again = repeated_keys(messages, identifier, time, bucket).select(F.col("key").alias("__key"), F.lit(True).alias("__again"))
-    marked = messages.withColumn("__key", message_key(F.col(identifier))).join(again, "__key", "left")
-    single = marked.where("__again IS NULL").select(*columns)
+    keyed = messages.withColumn("__key", message_key(F.col(identifier)))
+    without = keyed.where("__key IS NULL").select(*columns)  # they would all meet in one task of a join
+    marked = keyed.where("__key IS NOT NULL").join(again, "__key", "left")
+    single = without.unionByName(marked.where("__again IS NULL").select(*columns))
     order = F.struct(F.col(time).alias("__time"), *[F.col(f"`{c}`") for c in columns])
     kept = marked.where("__again").groupBy("__key").agg(F.min(order).alias("__row")).select(*[F.col(f"__row.`{c}`") for c in columns])
     return single.unionByName(kept)

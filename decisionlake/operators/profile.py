@@ -111,5 +111,23 @@ def coverage(counts: DataFrame, expressions: DataFrame) -> DataFrame:
     return counts.where("value IS NOT NULL").join(known, ["column_name", "value"]).groupBy("load", "column_name", "expression").agg(F.sum("rows").alias("rows"))
 
 
+def usual_coverage(counts: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
+    """``load, column_name, expression, share, usual``: each induced expression's share of a load's non-null rows.
+
+    ``usual`` is the median of the shares over all loads in which the column has values; a load without a row of the
+    expression counts as 0.  counts: as from ``value_counts``.
+    """
+    there = counts.where("value IS NOT NULL")
+    induced = induced_expressions(there.groupBy("column_name", "value").agg(F.sum("rows").alias("rows")), min_share).where("expression IS NOT NULL")
+    loads = there.groupBy("load", "column_name").agg(F.sum("rows").alias("present"))
+    # an expression covers at least min_share of its column, so there are few to set against the loads
+    grid = loads.join(induced.select("column_name", "expression").distinct(), "column_name")
+    covered = coverage(there, induced).where("expression IS NOT NULL").withColumnsRenamed({"load": "l", "column_name": "c", "expression": "e"})
+    on = F.col("load").eqNullSafe(F.col("l")) & (F.col("column_name") == F.col("c")) & (F.col("expression") == F.col("e"))
+    shares = grid.join(covered, on, "left").select("load", "column_name", "expression", (F.coalesce("rows", F.lit(0)) / F.col("present")).alias("share"))
+    usual = shares.groupBy("column_name", "expression").agg(F.expr("percentile(share, 0.5)").alias("usual"))
+    return shares.join(usual, ["column_name", "expression"])
+
+
 def union(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)

@@ -1,73 +1,124 @@
 """Applying a change feed: commit-ordered transactional replay.
 
-1. Repeated deliveries of a change collapse (map-side first).
-2. Changes are assembled to transactions; with a declared size, a transaction counts as complete once so many of its
-   changes have arrived.
-3. The committed watermark is the last transaction up to which all are complete and, for a feed whose sequence numbers are
-   dense, no number is missing; later changes are held.
+1. Changes are assembled to transactions (by what they share, such as their commit time); a transaction spans from its first
+   to its last sequence number, the latter being its place in the order of commits.
+2. A transaction is complete if it holds as many different changes as it declares, if its predecessor (where a change names
+   one) is in the feed, and, in a feed that is still open, if something was committed behind it.
+3. The committed watermark lies before the first change of the first incomplete transaction and, in a feed whose sequence
+   numbers are dense, before the first missing number.  A transaction that isn't wholly up to the watermark is held as a whole.
 4. Keys don't conflict with one another, so every key is replayed on its own, in parallel, by aggregates that combine
-   map-side: a key with a third of all changes is one row per task.
+   map-side: repeated deliveries collapse, and a key with a third of all changes is one row per task.
 
-Log sequence numbers that are byte positions (the default here) have natural gaps, so only incomplete transactions hold
-the watermark back.  Defined cases: changes without key or sequence number are ignored; an empty feed gives no row; a
-delete with the highest number removes the key, and a later insert brings it back.
+Log sequence numbers that are byte positions have natural gaps, so ``dense`` is an option.
+
+Defined cases: changes without key or sequence number are ignored by the replay, but belong to their transaction; a change
+without a transaction is one of its own; an empty feed gives no row; a delete with the highest number removes the key, and a
+later insert brings it back.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 #: Sequence numbers are looked through in spans of so many, so that no task sees them all.
 SPAN = 1_000_000
 
 
-def committed_watermark(feed: DataFrame, sequence: str, transaction: str | None = None, size: str | None = None, dense: bool = False) -> DataFrame:
-    """One row ``watermark``: the highest sequence number that may be shown; null if none."""
+@dataclass(frozen=True)
+class Commits:
+    """What tells transactions apart, and when one is complete.
+
+    transaction: the column that the changes of one transaction share; size: the column with the number of its changes;
+    previous: the column with the sequence number of the change before (null for the first); dense: whether every number must
+    come; closed: whether the feed has ended, so that its last transaction is whole too.
+    """
+
+    transaction: str
+    size: str | None = None
+    previous: str | None = None
+    dense: bool = False
+    closed: bool = True
+
+
+def _belongs(commits: Commits, sequence: str) -> Column:
+    return F.coalesce(F.concat(F.lit("t"), F.col(commits.transaction).cast("string")), F.concat(F.lit("s"), F.col(sequence).cast("string")))
+
+
+def transactions(feed: DataFrame, sequence: str, commits: Commits) -> DataFrame:
+    """``transaction, first, last, whole``: one row per transaction, from aggregates with map-side combining."""
+    changes = feed.where(F.col(sequence).isNotNull()).withColumn("__t", _belongs(commits, sequence))
+    size = F.max(commits.size) if commits.size else F.lit(None)
+    if commits.size:  # repeated deliveries count once
+        before = F.max(commits.previous).alias("before") if commits.previous else F.lit(None).alias("before")
+        changes = changes.groupBy("__t", sequence).agg(size.alias("of"), before)
+    else:
+        changes = changes.select("__t", sequence, F.lit(None).cast("long").alias("of"), (F.col(commits.previous) if commits.previous else F.lit(None).cast("long")).alias("before"))
+    spans = changes.groupBy("__t").agg(F.min(sequence).alias("first"), F.max(sequence).alias("last"), F.count("*").alias("n"), F.max("of").alias("of"))
+    whole = F.coalesce(F.col("n") >= F.col("of"), F.lit(True)) if commits.size else F.lit(True)
+    spans = spans.withColumn("whole", whole)
+    if commits.previous:
+        came = changes.select(F.col(sequence).alias("before")).distinct()
+        orphans = changes.where("before IS NOT NULL").join(came, "before", "left_anti").select("__t").distinct().withColumn("orphan", F.lit(True))
+        spans = spans.join(orphans, "__t", "left").withColumn("whole", F.col("whole") & F.col("orphan").isNull())
+    return spans.select(F.col("__t").alias("transaction"), "first", "last", "whole")
+
+
+def _missing(feed: DataFrame, sequence: str) -> DataFrame:
+    """``watermark``: the last number before the first missing one; no row or null if none is missing."""
+    seen = feed.where(F.col(sequence).isNotNull()).select(F.col(sequence).alias("s")).distinct().withColumn("span", F.floor(F.col("s") / SPAN))
+    ahead = Window.partitionBy("span").orderBy("s")
+    broken = seen.withColumn("next", F.lead("s").over(ahead)).where("next > s + 1").agg(F.min("s").alias("watermark"))
+    spans = seen.groupBy("span").agg(F.min("s").alias("a"), F.max("s").alias("b"))  # one row per million numbers
+    following = spans.withColumn("next", F.lead("a").over(Window.orderBy("span")))
+    return broken.unionByName(following.where("next > b + 1").agg(F.min("b").alias("watermark")))
+
+
+def committed_watermark(feed: DataFrame, sequence: str, commits: Commits, spans: DataFrame | None = None) -> DataFrame:
+    """One row ``watermark``: the highest sequence number up to which all is committed; null for an empty feed."""
+    spans = transactions(feed, sequence, commits) if spans is None else spans
+    top, held = F.max("last"), F.min(F.when(~F.col("whole"), F.col("first") - 1))
+    if commits.closed:
+        mark = spans.agg(F.least(top, held).alias("watermark"))
+    else:  # nothing stands behind the last transaction, so more of it may come
+        mark = spans.agg(F.least(F.max(F.struct("last", (F.col("first") - 1).alias("before")))["before"], held).alias("watermark"))
+    if commits.dense:
+        mark = mark.unionByName(_missing(feed, sequence)).agg(F.min("watermark").alias("watermark"))
+    return mark
+
+
+def committed(feed: DataFrame, sequence: str, commits: Commits) -> DataFrame:
+    """The changes of the transactions that lie wholly up to the watermark."""
+    spans = transactions(feed, sequence, commits)
+    mark = F.broadcast(committed_watermark(feed, sequence, commits, spans).toDF("__watermark"))  # one row
     changes = feed.where(F.col(sequence).isNotNull())
-    upto = changes.agg(F.max(sequence).alias("last"), F.min(sequence).alias("first"))
-    limits = [upto.select(F.col("last").alias("watermark"))]
-    if transaction and size:
-        whole = changes.groupBy(transaction).agg(F.count_distinct(F.col(sequence)).alias("n"), F.max(size).alias("of"), F.min(sequence).alias("first"))
-        limits.append(whole.where("n < of").agg((F.min("first") - 1).alias("watermark")))
-    if dense:
-        seen = changes.select(F.col(sequence).alias("s")).distinct().withColumn("span", F.floor(F.col("s") / SPAN))
-        ahead = Window.partitionBy("span").orderBy("s")
-        inside = seen.withColumn("next", F.lead("s").over(ahead))
-        broken = inside.where("next > s + 1").agg(F.min("s").alias("watermark"))
-        spans = seen.groupBy("span").agg(F.min("s").alias("a"), F.max("s").alias("b"))  # one row per million numbers
-        following = spans.withColumn("next", F.lead("a").over(Window.orderBy("span")))
-        limits += [broken, following.where("next > b + 1").agg(F.min("b").alias("watermark"))]
-    out = limits[0]
-    for other in limits[1:]:
-        out = out.unionByName(other)
-    return out.agg(F.min("watermark").alias("watermark"))
-
-
-def _shown(feed: DataFrame, key: str, sequence: str, held: dict) -> DataFrame:
-    changes = feed.where(F.col(key).isNotNull() & F.col(sequence).isNotNull())
-    if not held:
-        return changes
-    mark = F.broadcast(committed_watermark(feed, sequence, **held).toDF("__watermark"))  # one row
-    return changes.join(mark, F.col(sequence) <= F.col("__watermark"), "left_semi")
-
-
-def last_changes(feed: DataFrame, key: str, sequence: str, deleted: Column, **held) -> DataFrame:
-    """``key, sequence``: the last committed change of each key that exists after it.  ``held``: see committed_watermark."""
-    ends = _shown(feed, key, sequence, held).groupBy(key).agg(F.max(sequence).alias("__last"), F.max(F.when(deleted, F.col(sequence))).alias("__gone"))
+    upto = changes.join(mark, F.col(sequence) <= F.col("__watermark"))
+    # transactions astride the watermark are few, as many as run at one time
+    astride = spans.join(mark, (F.col("first") <= F.col("__watermark")) & (F.col("last") > F.col("__watermark"))).select(F.col("transaction").alias("__t"))
+    return upto.drop("__watermark").withColumn("__t", _belongs(commits, sequence)).join(astride, "__t", "left_anti").drop("__t")
+
+
+def _shown(feed: DataFrame, key: str, sequence: str, commits: Commits) -> DataFrame:
+    return committed(feed, sequence, commits).where(F.col(key).isNotNull())
+
+
+def last_changes(feed: DataFrame, key: str, sequence: str, deleted: Column, commits: Commits) -> DataFrame:
+    """``key, sequence``: the last committed change of each key that exists after it."""
+    ends = _shown(feed, key, sequence, commits).groupBy(key).agg(F.max(sequence).alias("__last"), F.max(F.when(deleted, F.col(sequence))).alias("__gone"))
     return ends.where("__gone IS NULL OR __gone < __last").select(key, F.col("__last").alias(sequence))
 
 
-def current_state(feed: DataFrame, key: str, sequence: str, deleted: Column, unavailable: dict[str, str] | None = None, **held) -> DataFrame:
+def current_state(feed: DataFrame, key: str, sequence: str, deleted: Column, commits: Commits, unavailable: dict[str, str] | None = None) -> DataFrame:
     """The whole row of each existing key as after its last committed change.
 
     ``unavailable`` names columns and the marker that stands for "not sent with this change"; such a value is taken from the
     latest earlier change since the key was last deleted.
     """
     unavailable = unavailable or {}
-    shown = _shown(feed, key, sequence, held)
+    shown = _shown(feed, key, sequence, commits)
     known = [F.max(F.when(deleted, F.col(sequence))).alias("__gone"), F.max(sequence).alias("__last")]
     ends = shown.groupBy(key).agg(*known).where("__gone IS NULL OR __gone < __last")
     rest = [c for c in feed.columns if c not in (key, sequence)]
@@ -84,6 +135,3 @@ def current_state(feed: DataFrame, key: str, sequence: str, deleted: Column, una
         latest = real.groupBy(key).agg(F.max(F.struct(F.col(sequence), F.col(column))).alias("__real"))
         rows = rows.join(latest, key, "left").withColumn(column, F.when(F.col(column) == marker, F.col(f"__real.{column}")).otherwise(F.col(column))).drop("__real")
     return rows.select(*feed.columns)
-
-
-FEED_SCHEMA = T.StructType([T.StructField("key", T.StringType()), T.StructField("sequence", T.LongType()), T.StructField("op", T.StringType())])

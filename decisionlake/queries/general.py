@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from decisionlake.config import PRODUCTS
 from decisionlake.functions.ids import packed, unpacked
 from decisionlake.functions.times import gulf_micros, gulf_micros_of_epoch, wall_micros
 from decisionlake.operators import asof, messages, profile, replay
@@ -63,7 +62,6 @@ def _findings(rows: DataFrame) -> DataFrame:
             F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("rows"))), F.lit(0)).alias("present"),
             F.coalesce(F.sum(F.when(F.col("value").isNotNull() & out, F.col("rows"))), F.lit(0)).alias("outside"),
             F.max(F.when(F.col("value").isNotNull(), F.col("rows"))).alias("largest"),
-            *[F.coalesce(F.sum(F.when((F.col("column_name") == PRODUCT) & (F.col("value") == p), F.col("rows"))), F.lit(0)).alias(p) for p in PRODUCTS],
         )
     )  # one row per load and column
     finding = lambda df, name: df.select(F.col("load").alias("batch_id"), "column_name", F.lit(name).alias("finding"))
@@ -77,19 +75,18 @@ def _findings(rows: DataFrame) -> DataFrame:
     buckets = counts.where((F.col("column_name") == TIME) & F.col("value").isNotNull()).select("load", F.split("value", ":")[1].alias("bucket"), "rows")
     single_time = profile.frequent_values(rows, "batch_id", F.col(TIME), buckets, 0.30).select("load", F.lit(TIME).alias("column_name")).distinct()
 
-    # the induced expressions say what conforms; the declared codes then decide exactly
+    # what conforms, and how the codes are mixed, is told by the coverage of the induced expressions, compared between loads
     codes = counts.where((F.col("column_name") == PRODUCT) & F.col("value").isNotNull())
-    induced = profile.induced_expressions(codes.groupBy("column_name", "value").agg(F.sum("rows").alias("rows")))
-    conforming = induced.where(F.col("expression").isNotNull() | F.col("value").isin(*PRODUCTS)).where(F.col("value").isin(*PRODUCTS)).withColumn("expression", F.coalesce("expression", "value"))
-    covered = profile.coverage(codes, conforming).groupBy("load", "column_name").agg(F.sum("rows").alias("covered"))
-    pattern = loads.where((F.col("column_name") == PRODUCT) & (F.col("present") > 0)).join(covered, ["load", "column_name"], "left").where(1 - F.coalesce("covered", F.lit(0)) / F.col("present") > 0.05)
+    shares = cut(profile.usual_coverage(codes))
+    coded = shares.where("usual >= 0.05")
+    covered = coded.groupBy("load", "column_name").agg(F.sum("share").alias("covered"))
+    pattern = loads.where((F.col("column_name") == PRODUCT) & (F.col("present") > 0)).join(covered, ["load", "column_name"], "left").where(1 - F.coalesce("covered", F.lit(0.0)) > 0.05 + 1e-12)
+    shifted = coded.where("abs(share - usual) > 0.20").select("load", "column_name").distinct()
 
     inside = counts.where(F.col("column_name").isin(*RANGES) & F.col("value").isNotNull()).where(~out)
     medians = inside.groupBy("load", "column_name").agg(F.expr("percentile(CAST(value AS DOUBLE), 0.5D, rows)").alias("median"))
     limit = F.coalesce(*[F.when(F.col("column_name") == c, F.lit(x)) for c, x in DRIFT.items()])
     moved = medians.join(middle(medians, "median"), "column_name").where(F.abs(F.col("median") - F.col("usual")) > limit + 1e-9)
-    mix = loads.where((F.col("column_name") == PRODUCT) & (F.col("present") > 0)).select("load", F.explode(F.array(*[F.struct(F.lit(p).alias("column_name"), share(p).alias("share")) for p in PRODUCTS])).alias("p")).select("load", "p.*")
-    shifted = mix.join(middle(mix, "share"), "column_name").where("abs(share - usual) > 0.20").select("load", F.lit(PRODUCT).alias("column_name")).distinct()
     return profile.union(
         finding(null_rate, "null_rate"), finding(value_range, "value_range"), finding(single, "single_value"), finding(single_time, "single_value"),
         finding(pattern, "pattern"), finding(moved, "distribution"), finding(shifted, "distribution"),
@@ -110,20 +107,21 @@ def p3_expressions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p3_profile(spark: SparkSession, folder: str) -> DataFrame:
-    """Standard figures of each profiled column and load."""
-    rows = table(spark, folder, "decision_input")
-    one = [
-        rows.groupBy("batch_id").agg(
-            F.lit(c).alias("column_name"), F.count("*").alias("row_count"), F.count(c).alias("present_count"),
-            F.count_distinct(F.col(c)).alias("distinct_count"), F.min(c).cast("string").alias("low"), F.max(c).cast("string").alias("high"),
-        )
-        for c in PROFILED
-    ]
-    return profile.union(*one)
+    """Standard figures of each profiled column and load, from one pass that counts values."""
+    counts = profile.value_counts(table(spark, folder, "decision_input"), "batch_id", {c: F.col(c) for c in PROFILED})
+    ends = []
+    for end in (F.min, F.max):
+        typed = {SCORE: F.expr("try_cast(value AS int)"), FRAUD: F.expr("try_cast(value AS decimal(5,4))")}
+        ends.append(F.coalesce(*[end(F.when(F.col("column_name") == c, x)).cast("string") for c, x in typed.items()], end(F.when(~F.col("column_name").isin(*typed), F.col("value")))))
+    return counts.groupBy(F.col("load").alias("batch_id"), "column_name").agg(
+        F.sum("rows").alias("row_count"), F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("rows"))), F.lit(0)).alias("present_count"), F.count("value").alias("distinct_count"), ends[0].alias("low"), ends[1].alias("high")
+    )
 
 
 KEY, LSN = "internal_customer_uuid", "cdc_lsn"
 UNAVAILABLE = {"address": "__unavailable_value"}
+#: The changes of one commit are a transaction; the stored feed has ended, and its numbers are byte positions, not dense.
+COMMITS = replay.Commits("cdc_source_ts_ms")
 
 
 def _deleted() -> Column:
@@ -132,12 +130,12 @@ def _deleted() -> Column:
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """The customers that exist after all changes, with the number of their last change."""
-    return replay.last_changes(table(spark, folder, "customer_profile_raw"), KEY, LSN, _deleted())
+    return replay.last_changes(table(spark, folder, "customer_profile_raw"), KEY, LSN, _deleted(), COMMITS)
 
 
 def p6_state(spark: SparkSession, folder: str) -> DataFrame:
     """The whole current profile of each existing customer."""
-    return replay.current_state(table(spark, folder, "customer_profile_raw"), KEY, LSN, _deleted(), UNAVAILABLE)
+    return replay.current_state(table(spark, folder, "customer_profile_raw"), KEY, LSN, _deleted(), COMMITS, UNAVAILABLE)
 
 
 def decisions_once(decisions: DataFrame) -> DataFrame:

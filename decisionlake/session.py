@@ -36,12 +36,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """The same rows with their lineage cut by a checkpoint in the shared folder of ``spark.checkpoint.dir``.
 
-    Only where neither the session nor its context names a folder (in tests), a temporary one is set.
+    Where neither the session nor its context names a folder, a local master (in tests) gets a temporary one; on a cluster
+    that is an error, since a machine's own folder is lost with it.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir", "") or df.sparkSession.conf.get("spark.checkpoint.dir", "")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="decisionlake-"))
+        if not named:
+            if not context.master.startswith("local[") and context.master != "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+            named = tempfile.mkdtemp(prefix="decisionlake-")
+        context.setCheckpointDir(named)
     return df.checkpoint()
 
 

@@ -25,3 +25,23 @@ def test_counts_keep_nulls_and_empty_tables(spark):
     got = {(r.load, r.value): r.rows for r in profile.value_counts(df, "load", {"x": F.col("x")}).collect()}
     assert got == {("a", None): 1, ("a", "1"): 1, (None, "1"): 1}
     assert profile.value_counts(df.limit(0), "load", {"x": F.col("x")}).count() == 0
+
+
+def test_usual_coverage_compares_loads(spark):
+    """The induced expressions decide what conforms: a variant in one load isn't usual, and one load's mix stands out."""
+    rows = [(f"l{n}", "code", v, r) for n in range(5) for v, r in (("PERSONAL_FINANCE", 50), ("BNPL", 30), ("CARD_ALT", 20))]
+    rows += [("l5", "code", "PERSONAL_FINANCE", 10), ("l5", "code", "BNPL", 60), ("l5", "code", "bnpl", 30), ("l6", "code", None, 9)]
+    got = {(r.load, r.expression): (r.share, r.usual) for r in profile.usual_coverage(spark.createDataFrame(rows, "load string, column_name string, value string, rows long")).collect()}
+    assert got["l0", "BNPL"] == (0.3, 0.3) and got["l5", "BNPL"] == (0.6, 0.3) and got["l5", "CARD_ALT"] == (0.0, 0.2)
+    assert got["l5", "bnpl"] == (0.3, 0.0) and not any(load == "l6" for load, _ in got)
+    assert profile.usual_coverage(spark.createDataFrame([], "load string, column_name string, value string, rows long")).count() == 0
+
+
+def test_switching_induction_off_changes_the_findings(spark, small, monkeypatch):
+    from decisionlake.queries import general
+
+    small = small.replace("sf0.001", "sf0.01")
+    found = lambda: {tuple(r) for r in general.p3_found(spark, small).collect() if r.column_name == "product_code"}
+    before = found()
+    monkeypatch.setattr(profile, "induced_expressions", lambda values, *_: values.withColumn("expression", F.lit(".*")))
+    assert {f for *_, f in before} >= {"pattern"} and found() != before
