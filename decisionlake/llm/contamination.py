@@ -28,7 +28,7 @@ STRETCH = 4
 SHARE = 0.5
 BLOCK_WORDS = 200_000
 
-_TAG = re.compile(r"<[^<>]{0,200}>")
+_TAG = re.compile(r"<[^<>]*>")
 _HIDDEN = re.compile("[­​-‏⁠﻿ـ]")
 _WORD = re.compile(r"[^\W_]+")
 

@@ -1,32 +1,35 @@
 """Subject areas of documents: labelling functions on sentences, put together by a latent model that learns their accuracy.
 
-Five functions vote for one subject of a sentence or abstain:
+Five functions vote for one subject of a sentence or abstain, each on its own:
 
 * lexicon: the terms (words and word pairs) whose weights by subject were learned from labelled documents,
 * title: words of the subjects' own titles and descriptions,
-* section: what the lexicon says of the sentences on both sides,
-* source: the subject to which the document's source leans,
-* address: subject words in hosts and mailboxes of addresses.
+* section: what most other sentences of the same section are about (headings and blank lines part sections),
+* address: subject words in hosts and mailboxes of addresses,
+* source: the subject that is over-represented in the document's source.
 
-The weights come from semi-supervised naive Bayes by expectation maximisation with a class of its own for sentences about no
-subject.  The latent model (one accuracy and one abstention rate per function, by expectation maximisation on unlabelled
-votes, as for several raters) turns the votes of a sentence into posterior subject probabilities.  A document has the subjects
-that are the likeliest of at least ``SHARE`` of its sentences about any subject.
+The latent model has a class per subject and one for sentences about none.  Of every function it learns how often it speaks
+on a sentence about a subject, how often on one about none, and how often it is then right, by expectation maximisation over
+the patterns of votes of all documents that didn't teach the lexicon, beginning from the lexicon's score on labels that it
+hadn't seen.  A sentence's votes, abstentions included, thus give
+posterior probabilities of all classes, and a document has a subject if it is more likely than not that at least ``SHARE`` of
+its sentences about any subject are about it (exactly, by adding up the sentences' probabilities as independent).
 
-Fitting reads all documents too: the vocabulary, the sums of each round of expectation maximisation, the leanings of the
-sources and the patterns of votes are aggregates over every document, labelled or not.
+The texts are read once: what is kept of a sentence is its pattern of votes, a small number.  The lexicon is fitted on at most
+``SAMPLE`` labelled documents; terms are hashed to ``BUCKETS`` places, so that no term is left out and every worker's weights
+have one size.  Leanings of sources and counts of patterns are aggregates over all documents.
 
-Courtesies and references vote for nothing, and quoted evaluation items are left out: passages between ellipses, and
-sentences at least half of which lie in a span where the item automaton follows one item.
+Courtesies and references vote for nothing, and quoted evaluation items are left out: passages between ellipses that hold a
+stretch of an item, and sentences at least half of which lie in a span where the item automaton follows one item.
 
 Defined cases: null, empty and blank texts have no subject; unknown subjects in the labels are ignored; without any label the
-lexicon starts from the subjects' descriptions alone.
+lexicon is silent and the other functions decide; rows without a document id are documents too, their id is null.
 """
 
 from __future__ import annotations
 
-import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -38,8 +41,10 @@ from pyspark.sql import functions as F
 from decisionlake.llm.contamination import ItemAutomaton, normalised
 from decisionlake.session import cut
 
-#: The lexicon keeps so many terms, the commonest of all documents, so that it fits each worker.
-VOCABULARY = 200_000
+#: The lexicon is fitted on at most so many labelled documents.
+SAMPLE = 6_000
+#: Terms are hashed to so many places.
+BUCKETS = 1 << 18
 SHARE = 1 / 6
 #: A lexicon votes if its subject is that sure.
 SURE = 0.8
@@ -47,60 +52,109 @@ ROUNDS = 12
 #: A quotation holds so many different words' places of an item, with so many other words in a row at most.
 QUOTED = 14
 GAP = 10
-FUNCTIONS = ("lexicon", "title", "section", "source", "address")
+#: A sentence this sure counts as settled when a document's probabilities are added up.
+SETTLED = 0.99
+#: The functions that look at a sentence's own words are held to speak of subjects only with the weight of this share of all
+#: sentences; without that, sentences about none could as well be ones that the functions overlook.
+FIRM = 0.25
+OWN_WORDS = (0, 1)
+FUNCTIONS = ("lexicon", "title", "section", "address", "source")
+#: Words known to a worker's memo at most.
+MEMO = 500_000
+# Words of titles that say nothing of a subject.
+STOP = frozenset("a an and as at by for from in of on or the to with".split())
 
 _LINE = re.compile(r"(?m)^[ \t]*(?:>+[ \t]?)+")
-_LEAD = re.compile(r"(?m)^[ \t]*(?:\[\d{1,2}:\d{2}\][ \t]*[^\s:]{1,20}[ \t]*:|[-*•]|\d{1,3}[.)]|#+[ \t]*\d*)[ \t]+")
-_QUOTED = re.compile(r"…[^…]{0,2000}…")
+_HEAD = re.compile(r"(?m)^[ \t]*#+[ \t]*(?:\d+(?=\s))?")
+_LEAD = re.compile(r"(?m)^[ \t]*(?:\[\d{1,2}:\d{2}\][ \t]*[^\s:]+[ \t]*:|[-*•]|\d{1,3}[.)]|#+[ \t]*\d*)[ \t]+")
 _BREAK = re.compile(r"<(?:br|/p|/div|p|div|td|/td)\s*/?>", re.I)
 _END = re.compile(r"(?<=[.?!؟。])[\s ]+")
+_BLANK = re.compile(r"\n(?=[ \t]*\n)")
 _ADDRESS = re.compile(r"(?:https?://|www\.)[^\s<>]+|[\w.+-]+@[\w-]+(?:\.[\w-]+)+")
-
-
-def sentences(text: str | None) -> list[str]:
-    """The sentences of a text, without reply marks, list marks, speakers and quotations between ellipses."""
+_PART = "\ue000"  # a private mark before the first sentence of a section
+
+
+def unquoted(text: str, items: ItemAutomaton) -> str:
+    """The text without the passages between two ellipses that hold a stretch of an item; other ellipses stay."""
+    at, out = text.find("…"), []
+    if at < 0:
+        return text
+    begin = 0
+    while at >= 0:
+        end = text.find("…", at + 1)
+        if end < 0:
+            break
+        if items.stretches(normalised(text[at + 1 : end])):
+            out += [text[begin:at], " "]
+            begin = end + 1
+            at = text.find("…", begin)
+        else:
+            at = end
+    return "".join([*out, text[begin:]])
+
+
+def sentences(text: str | None, items: ItemAutomaton | None = None) -> list[str]:
+    """The sentences of a text, without reply marks, list marks, speakers and quoted items.
+
+    A sentence that begins a section has a private mark before it.
+    """
     if not text or text.isspace():
         return []
-    text = text.replace("â€¦", "…").replace("\r", "\n").replace("&nbsp;", " ")
-    text = _QUOTED.sub(" ", _LEAD.sub("", _LINE.sub("", _BREAK.sub("\n", text))))
+    text = text.replace("â€¦", "…").replace("\r\n", "\n").replace("\r", "\n").replace("&nbsp;", " ").replace(_PART, " ")
+    if "<" in text:
+        text = _BREAK.sub("\n", text)
+    text = _LINE.sub("", text)
+    if "#" in text:
+        text = _HEAD.sub(_PART + " ", text)
+    text = _LEAD.sub("", text)
+    if items is not None:
+        text = unquoted(text, items)
+    text = _BLANK.sub("\n" + _PART, text)
     text = re.sub(r"(?<=[.?!؟])\s*\n+", " \n", text).replace("\n", " ")
     return [s for s in _END.split(text) if s.strip()]
 
 
-def terms(words: list[str]) -> list[str]:
-    """Words that aren't numbers, and pairs of neighbours."""
-    kept = [w for w in words if not w.isdigit()]
-    return kept + [f"{a} {b}" for a, b in zip(kept, kept[1:])]
-
-
 class SubjectModel:
-    """Lexicon weights and the accuracies of the labelling functions."""
+    """Lexicon weights and the titles' words: what the functions that look at a text alone need."""
 
     def __init__(self, areas: list[tuple[str, str]], passages: list[str]) -> None:
         self.subjects = sorted(s for s, _ in areas)
         self.at = {s: i for i, s in enumerate(self.subjects)}
-        counts = {s: Counter(w for w in normalised(d.replace("_", " ")) if len(w) > 3) for s, d in areas}
+        counts = {s: Counter(w for w in normalised(d.replace("_", " ")) if w not in STOP) for s, d in areas}
         everywhere = Counter(w for c in counts.values() for w in c)
         self.titles = {w: self.at[s] for s, c in counts.items() for w in c if everywhere[w] == 1}
         self.items = ItemAutomaton([(i, w) for i, p in enumerate(passages) if (w := normalised(p))])
-        self.vocabulary: dict[str, int] = {}
-        self.weights = np.zeros((0, len(self.subjects) + 1))
-        self.prior = np.full(len(self.subjects) + 1, 1 / (len(self.subjects) + 1))
-        self.sources: dict[str, int] = {}
-        # where learning begins: the lexicon, taught by labels, is trusted before what only leans on it
-        self.accuracy = np.array([0.95, 0.6, 0.6, 0.6, 0.6])
+        self.weights = np.zeros((BUCKETS, len(self.subjects) + 1), np.float32)
+        self.prior = np.zeros(len(self.subjects) + 1)
+        self.taught: frozenset[str] = frozenset()
+        self.tested: float | None = None
+        self.memo: dict[str, tuple[int, int]] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"memo": {}}
 
     # ---- sentences ------------------------------------------------------------------------------------------------
-    def read(self, text: str | None) -> list[tuple[str, list[str]]]:
-        """The sentences that may count, with their words: those that lie in a quoted item are left out."""
-        found = [(s, w) for s in sentences(text) if len(w := normalised(s)) >= 2]
-        quoted = self._quoted([w for _, words in found for w in words])
+    def read(self, text: str | None) -> list[tuple[str, list[str], int]]:
+        """The sentences that may count, with their words and section: those that lie in a quoted item are left out."""
+        found, section = [], 0
+        for s in sentences(text, self.items):
+            if _PART in s:
+                section += 1
+                s = s.replace(_PART, " ")
+            if words := normalised(s):
+                found.append((s, words, section))
+        flat = [w for _, words, _ in found for w in words]
+        if not self.items.stretches(flat):
+            return found
+        quoted = self._quoted(flat)
+        if not quoted:
+            return found
         out, at = [], 0
-        for s, words in found:
-            inside = sum(quoted[at : at + len(words)]) if quoted else 0
+        for s, words, section in found:
+            inside = sum(quoted[at : at + len(words)])
             at += len(words)
             if 2 * inside < len(words):
-                out.append((s, words))
+                out.append((s, words, section))
         return out
 
     def _quoted(self, words: list[str]) -> list[bool]:
@@ -138,219 +192,286 @@ class SubjectModel:
             inside[a : b + 1] = [True] * (b + 1 - a)
         return inside
 
-    # ---- fitting --------------------------------------------------------------------------------------------------
-    def coded(self, text: str | None) -> tuple[list[int], list[int], list[int]]:
-        """The known terms of all sentences, and for each how many; title words as sentence * subjects + subject."""
-        ids, lengths, titled = [], [], []
-        for _, words in self.read(text):
-            own = [i for t in terms(words) if (i := self.vocabulary.get(t)) is not None]
-            if own:
-                titled += [len(lengths) * len(self.subjects) + self.titles[w] for w in words if w in self.titles]
-                ids += own
-                lengths.append(len(own))
-        return ids, lengths, titled
-
-    def expected(self, coded: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of coded documents: term and sentence of each occurrence; posterior and document of each sentence."""
-        k = len(self.subjects)
-        lengths = [np.asarray(x, int) for x in coded["lengths"]]
-        w = np.concatenate([np.asarray(x, int) for x in coded["ids"]])
-        doc = np.repeat(np.arange(len(coded)), [len(x) for x in lengths])
-        s = np.repeat(np.arange(len(doc)), np.concatenate(lengths))
-        may = np.ones((len(coded), k + 1))
-        for n, given in enumerate(coded["given"]):
-            if len(given):
-                may[n] = 0.03
-                may[n, np.asarray(given, int)] = 1.0
-                may[n, k] = 0.4
-        boost, at = np.ones((len(doc), k + 1)), 0
-        for n, hits in zip(map(len, lengths), coded["titled"]):
-            for h in hits:
-                boost[at + h // k, h % k] += 2.0
-            at += n
-        allow = may[doc] * boost
-        if not len(self.weights):
-            return w, s, allow / allow.sum(1, keepdims=True), doc
-        score = np.stack([np.bincount(s, self.weights[w, c], len(doc)) for c in range(k + 1)], 1) + np.log(self.prior) + np.log(allow)
-        score = np.exp(score - score.max(1, keepdims=True))
-        return w, s, score / score.sum(1, keepdims=True), doc
+    # ---- coding ---------------------------------------------------------------------------------------------------
+    def _code(self, word: str) -> tuple[int, int]:
+        """The word's number, 0 for one of digits alone, and 1 + the subject whose title has it."""
+        if len(self.memo) >= MEMO:
+            self.memo.clear()
+        code = self.memo[word] = (0 if word.isdigit() else zlib.crc32(word.encode("utf-8", "surrogatepass")) | 1, self.titles.get(word, -1) + 1)
+        return code
 
-    def learn_accuracy(self, votes: np.ndarray, times: np.ndarray) -> None:
-        """From the patterns of votes that occur, and how often each does."""
-        spoken = (votes >= 0).any(1)
-        votes, times = votes[spoken], times[spoken]
-        if not len(votes):
-            return
-        k = len(self.subjects)
-        for _ in range(20):
-            p = self._posterior(votes)
-            for j in range(len(FUNCTIONS)):
-                spoke = votes[:, j] >= 0
-                right = (p[spoke, votes[spoke, j]] * times[spoke]).sum()
-                self.accuracy[j] = min(0.99, max(1 / k, (right + 1) / (times[spoke].sum() + 1 + 1 / 0.7)))
-
-    def _posterior(self, votes: np.ndarray) -> np.ndarray:
-        k = len(self.subjects)
-        score = np.zeros((len(votes), k))
-        for j, a in enumerate(self.accuracy):
-            spoke = np.nonzero(votes[:, j] >= 0)[0]
-            score[spoke, votes[spoke, j]] += math.log(a * (k - 1) / (1 - a))
-        score = np.exp(score - score.max(1, keepdims=True))
-        return score / score.sum(1, keepdims=True)
+    def coded(self, texts: list[str | None]) -> dict[str, np.ndarray]:
+        """All sentences of some texts: each one's document, section, title and address vote, and its terms.
 
-    # ---- voting ---------------------------------------------------------------------------------------------------
-    def lexicon(self, words: list[str]) -> int:
-        """The subject of which the terms make sure, or -1."""
-        ids = [i for t in terms(words) if (i := self.vocabulary.get(t)) is not None]
-        if not ids or not len(self.weights):
-            return -1
-        score = self.weights[ids].sum(0) + np.log(self.prior)
-        best = int(score.argmax())
-        if best == len(self.subjects):
-            return -1
-        return best if 1 / np.exp(score - score[best]).sum() >= SURE else -1
-
-    def votes(self, found: list[tuple[str, list[str]]], source: str | None) -> np.ndarray:
-        """The functions' votes on each sentence, -1 for none.
-
-        Only a sentence with words of a subject can be about one: section and source support the lexicon and the titles but
-        don't speak alone.
+        ``terms`` are places of words and pairs of neighbours, ``of`` the sentence of each.
         """
-        out = np.full((len(found), len(FUNCTIONS)), -1)
-        for n, (_, words) in enumerate(found):
-            out[n, 0] = self.lexicon(words)
-        for n, (text, words) in enumerate(found):
-            if out[n, 0] < 0:
+        memo, code, k = self.memo, self._code, len(self.subjects)
+        docs, parts, addresses, lengths, words = [], [], [], [], []
+        for n, text in enumerate(texts):
+            if not isinstance(text, str):
                 continue
-            titled = Counter(self.titles[w] for w in words if w in self.titles).most_common(2)
-            if titled and (len(titled) == 1 or titled[0][1] > titled[1][1]):
-                out[n, 1] = titled[0][0]
-            around = Counter(v for v in (*out[max(0, n - 2) : n, 0], *out[n + 1 : n + 3, 0]) if v >= 0).most_common(1)
-            out[n, 2] = around[0][0] if around else -1
-            out[n, 3] = self.sources.get(source, -1)
-            if "@" in text or "://" in text or "www." in text:
-                hosts = Counter(self.titles[w] for a in _ADDRESS.findall(text) for w in normalised(a) if w in self.titles).most_common(1)
-                out[n, 4] = hosts[0][0] if hosts else -1
-        return out
-
-    def shares(self, text: str | None, source: str | None) -> dict[str, float]:
-        """The share of each subject in the sentences about any."""
-        found = self.read(text)
-        if not found:
-            return {}
-        votes = self.votes(found, source)
-        votes = votes[votes[:, 0] >= 0]
-        if not len(votes):
-            return {}
-        best = np.bincount(self._posterior(votes).argmax(1), minlength=len(self.subjects))
-        return {self.subjects[i]: best[i] / len(votes) for i in np.nonzero(best)[0]}
-
-
-def _scan(df: DataFrame, model: SubjectModel, each, schema: str) -> DataFrame:
-    """The rows that ``each(model, batches)`` makes of every partition."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
-    return df.mapInPandas(lambda batches: each(shared.value, batches), schema)
-
-
-def _terms(model: SubjectModel, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        seen: Counter = Counter()
-        for text in batch["text"]:
-            for _, words in model.read(text):
-                seen.update(set(terms(words)))
-        yield pd.DataFrame({"term": list(seen), "n": list(seen.values())})
-
-
-def _code(model: SubjectModel, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = [(c, [model.at[g] for g in given if g in model.at] if given is not None else [], *model.coded(t)) for t, c, given in zip(batch["text"], batch["source"], batch["given"])]
-        yield pd.DataFrame([r for r in rows if r[3]], columns=["source", "given", "ids", "lengths", "titled"])
-
-
-def _maximise(trust: float):
-    """Sums of posteriors by term; those of sentences under term -1. trust: the weight of unlabelled sentences."""
-
-    def each(model: SubjectModel, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        k, v = len(model.subjects), len(model.vocabulary)
-        sums = np.zeros((v + 1, k + 1))
-        for batch in batches:
-            if len(batch):
-                w, s, posterior, doc = model.expected(batch)
-                use = posterior * np.where(np.array([len(g) > 0 for g in batch["given"]]), 1.0, trust)[doc][:, None]
-                sums[:v] += np.stack([np.bincount(w, use[s, c], v) for c in range(k + 1)], 1)
-                sums[v] += use.sum(0)
-        used = np.nonzero(sums.any(1))[0]
-        yield pd.DataFrame(np.column_stack([np.where(used == v, -1, used), sums[used]]), columns=["term", *[f"c{c}" for c in range(k + 1)]]).astype({"term": "int64"})
-
-    return each
-
-
-def _lean(model: SubjectModel, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    k = len(model.subjects)
-    for batch in batches:
-        if len(batch):
-            _, _, posterior, doc = model.expected(batch)
-            by_doc = np.stack([np.bincount(doc, posterior[:, c], len(batch)) for c in range(k)], 1)
-            yield pd.DataFrame(by_doc, columns=[f"c{c}" for c in range(k)]).groupby(batch["source"].to_numpy()).sum().rename_axis("source").reset_index()
+            for s, own, section in self.read(text):
+                docs.append(n)
+                parts.append(section)
+                lengths.append(len(own))
+                words += [memo.get(w) or code(w) for w in own]
+                addresses.append(self._address(s) if "@" in s or "://" in s or "www." in s else 0)
+        m = len(docs)
+        pairs = np.array(words, np.int64).reshape(-1, 2)
+        of = np.repeat(np.arange(m), lengths)
+        hits = np.bincount(of * (k + 1) + pairs[:, 1], minlength=m * (k + 1)).reshape(m, k + 1)[:, 1:]
+        kept = pairs[:, 0] > 0
+        number, own = pairs[kept, 0].astype(np.uint64), of[kept]
+        next_to = own[1:] == own[:-1]
+        both = number[:-1] * np.uint64(0x9E3779B1) + number[1:] * np.uint64(0x85EBCA77)
+        spread = lambda x: ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64) % BUCKETS
+        return {
+            "doc": np.array(docs, np.int64), "section": np.array(parts, np.int64), "title": _leading(hits), "address": np.array(addresses, np.int64),
+            "terms": np.concatenate([spread(number), spread(both[next_to])]), "of": np.concatenate([own, own[1:][next_to]]), "hits": hits,
+        }
+
+    def _address(self, sentence: str) -> int:
+        hosts = Counter(self.titles[w] for a in _ADDRESS.findall(sentence) for w in normalised(a) if w in self.titles).most_common(1)
+        return hosts[0][0] + 1 if hosts else 0
+
+    # ---- the lexicon ----------------------------------------------------------------------------------------------
+    def learn(self, texts: list[str], given: list[list[int]]) -> None:
+        """Semi-supervised naive Bayes: a labelled document's sentences are about one of its subjects, or about none."""
+        c, k = self.coded(texts), len(self.subjects)
+        m = len(c["doc"])
+        if not m:
+            return
+        may = np.full((len(texts), k + 1), 0.03)
+        may[:, k] = 0.4
+        for n, subjects in enumerate(given):
+            may[n, subjects] = 1.0
+        allow = may[c["doc"]]
+        allow[:, :k] += allow[:, :k] * 2.0 * c["hits"]
+        places, term, seen = np.unique(c["terms"], return_inverse=True, return_counts=True)
+        of, base = c["of"], np.log(allow)
+        posterior = allow / allow.sum(1, keepdims=True)
+        for _ in range(ROUNDS):
+            use = np.stack([np.bincount(term, posterior[of, j], len(places)) for j in range(k + 1)], 1)
+            phi = use + 0.02
+            weights = np.log(phi / phi.sum(0))
+            prior = np.log((posterior.sum(0) + 1) / (m + k + 1))
+            score = np.stack([np.bincount(of, weights[term, j], m) for j in range(k + 1)], 1) + prior + base
+            score = np.exp(score - score.max(1, keepdims=True))
+            posterior = score / score.sum(1, keepdims=True)
+        again = seen >= 2  # a term met once tells nothing
+        self.weights[places[again]] = weights[again]
+        self.prior = prior
+
+    def teach(self, texts: list[str], given: list[list[int]]) -> None:
+        """Learn from all, after a test: each half's votes by what the other half taught, against the half's own labels."""
+        right = said = 0
+        for half in (0, 1):
+            self.weights[:] = 0
+            self.learn(texts[1 - half :: 2], given[1 - half :: 2])
+            c = self.coded(texts[half::2])
+            votes = self.lexicon(c)
+            own = given[half::2]
+            for n, v in zip(c["doc"][votes > 0], votes[votes > 0]):
+                said += 1
+                right += int(v) - 1 in own[n]
+        self.tested = (right + 1) / (said + 2) if said else None
+        self.weights[:] = 0
+        self.learn(texts, given)
+
+    def lexicon(self, c: dict[str, np.ndarray]) -> np.ndarray:
+        """1 + the subject of which a sentence's terms make sure, else 0."""
+        m, k = len(c["doc"]), len(self.subjects)
+        gathered = self.weights[c["terms"]]
+        known = np.bincount(c["of"], gathered[:, 0] != 0, m) > 0
+        score = np.stack([np.bincount(c["of"], gathered[:, j], m) for j in range(k + 1)], 1) + self.prior
+        best = score.argmax(1)
+        sure = 1 / np.exp(score - score.max(1, keepdims=True)).sum(1) >= SURE
+        return np.where(known & sure & (best < k), best + 1, 0)
 
+    # ---- voting ---------------------------------------------------------------------------------------------------
+    def patterns(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of every sentence its document, its lexicon vote and its votes packed into one number, the source's left open."""
+        c, k = self.coded(texts), len(self.subjects)
+        lexicon = self.lexicon(c)
+        block = np.cumsum(np.r_[0, (np.diff(c["doc"]) != 0) | (np.diff(c["section"]) != 0)]) if len(lexicon) else lexicon
+        says = np.where(lexicon > 0, lexicon, c["title"])
+        around = np.zeros((int(block[-1]) + 1 if len(block) else 0, k), np.int64)
+        spoke = np.nonzero(says)[0]
+        np.add.at(around, (block[spoke], says[spoke] - 1), 1)
+        others = around[block]
+        others[spoke, says[spoke] - 1] -= 1
+        section = _leading(others)
+        b = k + 1
+        return c["doc"], lexicon, lexicon + b * (c["title"] + b * (section + b * c["address"]))
+
+
+def _leading(counts: np.ndarray) -> np.ndarray:
+    """1 + the column that leads in each row; 0 without a single leader."""
+    if not len(counts):
+        return np.zeros(0, np.int64)
+    top = counts.max(1)
+    return np.where((top > 0) & ((counts == top[:, None]).sum(1) == 1), counts.argmax(1) + 1, 0)
+
+
+class LatentModel:
+    """What votes are worth: of every function, how it votes or abstains on sentences about each subject and about none.
+
+    ``table[function, class, vote]`` are probabilities; class K is none, vote 0 is silence.  A function that votes alike
+    whatever the class thus comes to count for nothing.
+    """
+
+    def __init__(self, subjects: int, tested: float | None = None) -> None:
+        """tested: the share of right lexicon votes on labelled documents by which the lexicon wasn't taught, if known."""
+        self.k = k = subjects
+        # where learning begins: lexicon, title and address speak of subjects only, the others whatever the sentence
+        accuracy = (0.95 if tested is None else min(max(tested, 1 / k), 0.999), 0.7, 0.6, 0.7, 0.3)
+        self.table = np.zeros((len(FUNCTIONS), k + 1, k + 1))
+        for j, (right, speaks, idle) in enumerate(zip(accuracy, (0.95, 0.5, 0.8, 0.5, 0.9), (0.02, 0.05, 0.8, 0.05, 0.9))):
+            self.table[j, :k, 1:] = speaks * (right * np.eye(k) + (1 - right) / max(1, k - 1) * (1 - np.eye(k)))
+            self.table[j, :k, 0] = 1 - speaks
+            self.table[j, k] = [1 - idle, *[idle / k] * k]
+        self.prior = np.full(k + 1, 1 / (k + 1))
+
+    @property
+    def accuracy(self) -> np.ndarray:
+        """Of every function the share of right votes among those on sentences about a subject."""
+        about = self.prior[: self.k]
+        right = (about * np.diagonal(self.table[:, : self.k, 1:], axis1=1, axis2=2)).sum(1)
+        return right / (about * (1 - self.table[:, : self.k, 0])).sum(1)
+
+    def unpacked(self, patterns: np.ndarray) -> np.ndarray:
+        b = self.k + 1
+        return np.stack([patterns // b**j % b for j in range(len(FUNCTIONS))], 1)
+
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        """Of each row of votes (0 abstains, else 1 + subject) the probability of every subject and of none."""
+        score = np.log(self.prior) + sum(np.log(self.table[j][:, votes[:, j]]).T for j in range(len(FUNCTIONS)))
+        score = np.exp(score - score.max(1, keepdims=True))
+        return score / score.sum(1, keepdims=True)
 
-def _vote(model: SubjectModel, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        seen: Counter = Counter()
-        for text, source in zip(batch["text"], batch["source"]):
-            seen.update(map(tuple, model.votes(model.read(text), source).tolist()))
-        yield pd.DataFrame([(*v, n) for v, n in seen.items()], columns=[*FUNCTIONS, "n"])
+    def learn(self, votes: np.ndarray, times: np.ndarray, rounds: int = 50) -> None:
+        """Expectation maximisation over the patterns that occur and how often each does."""
+        first, total = self.table.copy(), times.sum()
+        for _ in range(rounds if len(votes) else 0):
+            p = self.posterior(votes) * times[:, None]
+            for j in range(len(FUNCTIONS)):
+                met = np.stack([np.bincount(votes[:, j], p[:, c], self.k + 1) for c in range(self.k + 1)])
+                weight = (FIRM * total if j in OWN_WORDS else 1.0) / (self.k + 1)
+                self.table[j] = np.maximum((met + weight * first[j]) / (met.sum(1, keepdims=True) + weight), 1e-6)
+            self.prior = (p.sum(0) + 1) / (total + self.k + 1)
+
+
+def share_probabilities(posterior: np.ndarray, share: float = SHARE) -> tuple[np.ndarray, np.ndarray]:
+    """Of one document's sentences: the expected share of each subject, and the probability that it is at least ``share``.
+
+    A sentence about the subject adds 1 - share, one about another takes share away; the sum must not be negative.  Settled
+    sentences are added as they are, the others' distribution is folded in one after another.
+    """
+    k = posterior.shape[1] - 1
+    about = posterior[:, :k].sum(0)
+    expected = about / max(about.sum(), 1e-12)
+    unit = round(1 / share)  # in whole numbers: + (unit - 1), - 1
+    settled = posterior.max(1) >= SETTLED
+    best = posterior.argmax(1)
+    fixed = np.bincount(best[settled], minlength=k + 1)
+    any_fixed = fixed[:k].sum()
+    open_ = posterior[~settled]
+    out = np.zeros(k)
+    for s in np.nonzero(expected > 1e-9)[0]:
+        start = unit * fixed[s] - any_fixed
+        if not len(open_):
+            out[s] = float(start >= 0 and fixed[s] > 0)
+            continue
+        # mass over (sum, whether the subject was met at all)
+        n = len(open_)
+        mass = np.zeros((2, unit * n + n + 1))
+        zero = n
+        mass[int(fixed[s] > 0), zero] = 1.0
+        for p in open_:
+            yes, other, none = p[s], p[:k].sum() - p[s], p[k]
+            moved = mass * none
+            moved[:, :-1] += mass[:, 1:] * other
+            moved[1, unit - 1 :] += (mass[0] + mass[1])[: mass.shape[1] - unit + 1] * yes
+            mass = moved
+        first = max(0, zero - start)
+        out[s] = mass[1, first:].sum() if first < mass.shape[1] else 0.0
+    return expected, out
 
 
 def fitted(texts: DataFrame, labels: DataFrame, areas: DataFrame, items: DataFrame) -> SubjectModel:
-    """The model, from all documents: what is collected are sums by term, by source and by pattern of votes."""
+    """The lexicon, taught by at most SAMPLE labelled documents, chosen by a hash of their ids."""
     listed = [(r[0], f"{r[0]} {r[1] or ''} {r[2] or ''}") for r in areas.select("subject", "title", "description").collect() if r[0]]  # the fixed list of subjects
     passages = [r[0] for r in items.select("passage").collect() if r[0]]  # the fixed test set
     model = SubjectModel(listed, passages)
-    k = len(model.subjects)
-    given = labels.where("doc_id IS NOT NULL AND subject IS NOT NULL").groupBy("doc_id").agg(F.collect_set("subject").alias("given"))
-    written = texts.where("text IS NOT NULL").select("doc_id", "text", "source")
-    counts = _scan(written.select("text"), model, _terms, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).where("n >= 2")
-    model.vocabulary = {t: i for i, t in enumerate(sorted(r[0] for r in counts.orderBy(F.desc("n"), "term").limit(VOCABULARY).collect()))}
-    coded = cut(_scan(written.join(given, "doc_id", "left").select("text", "source", "given"), model, _code, "source string, given array<int>, ids array<int>, lengths array<int>, titled array<int>"))
-    if coded.isEmpty():
-        return model
-    taught = coded.where("size(given) > 0")
-    some = not taught.isEmpty()
-    columns = [f"c{c}" for c in range(k + 1)]
-    for r in range(ROUNDS):
-        # unlabelled sentences join once the labelled ones have taught the words
-        over, trust = (coded, 0.5) if r >= 3 else (taught, 0.0) if some else (coded, 1.0)
-        sums = _scan(over, model, _maximise(trust), "term long, " + ", ".join(f"{c} double" for c in columns)).groupBy("term").agg(*[F.sum(c).alias(c) for c in columns]).toPandas()
-        use = np.zeros((len(model.vocabulary) + 1, k + 1))
-        use[sums["term"].to_numpy()] = sums[columns].to_numpy()  # term -1 is the last row
-        phi = use[:-1] + 0.02
-        model.weights = np.log(phi / phi.sum(0))
-        model.prior = (use[-1] + 1) / (use[-1].sum() + k + 1)
-    lean = _scan(coded.where("source IS NOT NULL"), model, _lean, "source string, " + ", ".join(f"{c} double" for c in columns[:k])).groupBy("source").agg(*[F.sum(c).alias(c) for c in columns[:k]])
-    model.sources = {r[0]: int(np.argmax(r[1:])) for r in lean.collect()}
-    votes = _scan(written.select("text", "source"), model, _vote, ", ".join(f"{f} int" for f in FUNCTIONS) + ", n long").groupBy(*FUNCTIONS).agg(F.sum("n").alias("n")).orderBy(*FUNCTIONS).toPandas()
-    model.learn_accuracy(votes[list(FUNCTIONS)].to_numpy(int), votes["n"].to_numpy(float))
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("subject").isin(model.subjects)).select("doc_id", "subject").distinct()
+    chosen = known.groupBy("doc_id").agg(F.collect_set("subject").alias("given")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    taught = texts.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id").toPandas()
+    model.teach(taught["text"].tolist(), [[model.at[g] for g in given] for given in taught["given"]])
+    model.taught = frozenset(taught["doc_id"].astype(str))
     return model
 
 
-def subject_shares(texts: DataFrame, labels: DataFrame, areas: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc_id, subject, share`` of the subjects with at least SHARE of a document's sentences about any."""
-    shared = texts.sparkSession.sparkContext.broadcast(fitted(texts, labels, areas, items))
-    kind = texts.schema["doc_id"].dataType.simpleString()
+def sentence_votes(texts: DataFrame, model: SubjectModel) -> DataFrame:
+    """``doc_id, source, taught, lexicon, patterns``: of each document the packed votes of its sentences."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for batch in batches:
-            found = [
-                (d, subject, share)
-                for d, t, s in zip(batch["doc_id"], batch["text"], batch["source"])
-                if isinstance(t, str)
-                for subject, share in model.shares(t, s).items()
-                if share >= SHARE - 1e-9
-            ]
-            yield pd.DataFrame(found, columns=["doc_id", "subject", "share"])
+            doc, lexicon, patterns = model.patterns(batch["text"].tolist())
+            ends = np.searchsorted(doc, np.arange(len(batch) + 1))
+            has = np.nonzero(np.diff(ends))[0]
+            ids = batch["doc_id"].to_numpy()[has]
+            yield pd.DataFrame({
+                "doc_id": ids, "source": batch["source"].to_numpy()[has], "taught": [i in model.taught for i in ids],
+                "lexicon": [lexicon[ends[n] : ends[n + 1]].astype(np.int8) for n in has], "patterns": [patterns[ends[n] : ends[n + 1]].astype(np.int32) for n in has],
+            })
 
     # ids travel as text: whole numbers beside nulls would come as floating point
-    found = texts.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "source").mapInPandas(scan, "doc_id string, subject string, share double")
-    return found.select(F.col("doc_id").cast(kind).alias("doc_id"), "subject", "share")
+    asked = texts.where("text IS NOT NULL").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "source")
+    return asked.mapInPandas(scan, "doc_id string, source string, taught boolean, lexicon array<tinyint>, patterns array<int>")
+
+
+def leanings(votes: DataFrame) -> DataFrame:
+    """``source, lean``: 1 + the subject whose share of a source's lexicon votes most exceeds its share of all."""
+    counts = votes.where("source IS NOT NULL").select("source", F.explode("lexicon").alias("v")).where("v > 0").groupBy("source", "v").agg(F.count("*").alias("n"))
+    everywhere = counts.groupBy("v").agg(F.sum("n").alias("of"))  # one row per subject
+    lift = counts.join(F.broadcast(everywhere), "v").withColumn("lift", F.col("n") / F.col("of"))
+    return lift.groupBy("source").agg(F.max_by("v", F.struct("lift", "n", "v")).cast("int").alias("lean"))
+
+
+def subject_shares(texts: DataFrame, labels: DataFrame, areas: DataFrame, items: DataFrame) -> DataFrame:
+    """``doc_id, subject, share, probability``: the subjects that a document more likely than not has.
+
+    share: the expected share of its sentences about any; probability: that it is at least SHARE.
+    """
+    spark, kind = texts.sparkSession, texts.schema["doc_id"].dataType.simpleString()
+    model = fitted(texts, labels, areas, items)
+    k, subjects = len(model.subjects), model.subjects
+    votes = cut(sentence_votes(texts, model))
+    open_ = (k + 1) ** (len(FUNCTIONS) - 1)
+    full = votes.join(leanings(votes), "source", "left").select("doc_id", "taught", "patterns", F.coalesce("lean", F.lit(0)).alias("lean"))
+    counts = full.select("taught", "lean", F.explode("patterns").alias("p")).groupBy("taught", "lean", "p").agg(F.count("*").alias("n")).toPandas()  # at most (k + 1)^5 patterns twice
+    fresh = counts[~counts["taught"]] if (~counts["taught"]).any() else counts
+    latent = LatentModel(k, model.tested)
+    latent.learn(latent.unpacked(fresh["p"].to_numpy(np.int64) + open_ * fresh["lean"].to_numpy(np.int64)), fresh["n"].to_numpy(float))
+    shared = spark.sparkContext.broadcast(latent)
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        latent = shared.value
+        for batch in batches:
+            lengths = batch["patterns"].map(len).to_numpy()
+            flat = np.concatenate([*batch["patterns"], np.zeros(0, np.int64)]).astype(np.int64) + open_ * np.repeat(batch["lean"].to_numpy(np.int64), lengths)
+            seen, which = np.unique(flat, return_inverse=True)
+            posterior = latent.posterior(latent.unpacked(seen))[which]
+            found, at = [], 0
+            for i, n in zip(batch["doc_id"], lengths):
+                p = posterior[at : at + n]
+                at += n
+                if p[:, k].min() < 0.5:  # some sentence is about a subject
+                    expected, probability = share_probabilities(p)
+                    found += [(i, subjects[s], float(expected[s]), float(probability[s])) for s in np.nonzero(probability > 0.5)[0]]
+            yield pd.DataFrame(found, columns=["doc_id", "subject", "share", "probability"])
+
+    found = full.select("doc_id", "patterns", "lean").mapInPandas(assign, "doc_id string, subject string, share double, probability double")
+    return found.select(F.col("doc_id").cast(kind).alias("doc_id"), "subject", "share", "probability")

@@ -2,6 +2,7 @@ import base64
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,17 +137,62 @@ def test_subjects(spark):
     for r in subjects.subject_shares(texts, labels, areas, items).collect():
         got.setdefault(r.doc_id, set()).add(r.subject)
     assert sum(got.get(i) == set(g) for i, _, g in docs[60:]) >= 57
-    assert not {900, 901, 902, 903} & got.keys()
-
-
-def test_subjects_are_learned_from_all_documents(spark):
-    word = lambda n: "w" + "".join(chr(97 + n // 26**i % 26) for i in range(3))
-    texts = spark.createDataFrame([(i, f"Limits {word(i // 2)}.", f"s{i // 2}") for i in range(6_200)], "doc_id long, text string, source string")
-    labels = spark.createDataFrame([(0, "credit"), (1, "credit")], "doc_id long, subject string")
-    areas = spark.createDataFrame([("credit", "Credit", "limits"), ("fraud", "Fraud", "cards")], "subject string, title string, description string")
-    model = subjects.fitted(texts, labels, areas, spark.createDataFrame([], "passage string"))
-    assert {word(i) for i in range(3_100)} <= model.vocabulary.keys()
-    assert len(model.sources) == 3_100
+    assert got[902] == {"fraud"}  # ellipses alone are no quotation
+    assert not {900, 901, 903} & got.keys()
+    assert subjects.subject_shares(texts.limit(0), labels, areas, items).count() == 0
+    # without labels titles and sections decide
+    assert {r.subject for r in subjects.subject_shares(spark.createDataFrame([(1, "Credit limits. Limits again.", None)], "doc_id long, text string, source string"), labels.limit(0), areas, items).collect()} <= {"credit"}
+
+
+def test_latent_model_learns_accuracies():
+    """Simulated votes: the model finds how often each function speaks and is right, and beats the best function alone."""
+    rng = np.random.default_rng(3)
+    k, n = 4, 40_000
+    truth = rng.choice(k + 1, n, p=[0.2, 0.2, 0.2, 0.2, 0.2])
+    accuracy, speaks, idle = [0.85, 0.8, 0.8, 0.7, 0.3], [0.9, 0.5, 0.9, 0.3, 1.0], [0.05, 0.05, 0.9, 0.01, 1.0]
+    votes = np.zeros((n, 5), np.int64)
+    for j in range(5):
+        right = np.where(rng.random(n) < accuracy[j], truth, (truth + rng.integers(1, k, n)) % k)
+        said = np.where(truth == k, rng.integers(0, k, n), right)
+        votes[:, j] = np.where(rng.random(n) < np.where(truth == k, idle[j], speaks[j]), said + 1, 0)
+    model = subjects.LatentModel(k)
+    patterns, times = np.unique(votes, axis=0, return_counts=True)
+    model.learn(patterns, times.astype(float))
+    assert np.abs(model.accuracy - accuracy)[:4].max() < 0.08, model.accuracy
+    best = model.posterior(votes).argmax(1)
+    assert (best == truth).mean() > (np.where(votes[:, 0] > 0, votes[:, 0] - 1, k) == truth).mean() + 0.05
+
+
+def test_share_probabilities_against_all_outcomes():
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        p = rng.dirichlet(np.ones(4), rng.integers(1, 6))
+        p[rng.random(len(p)) < 0.3] = [0, 1, 0, 0]
+        expected, got = subjects.share_probabilities(p, 1 / 3)
+        want = np.zeros(3)
+        for outcome in itertools.product(range(4), repeat=len(p)):
+            chance = np.prod([p[i, c] for i, c in enumerate(outcome)])
+            about = sum(c < 3 for c in outcome)
+            for s in range(3):
+                want[s] += chance * (about > 0 and 3 * outcome.count(s) >= about and s in outcome)
+        assert np.allclose(got, want, atol=1e-9) and abs(expected.sum() - 1) < 1e-9
+
+
+def test_switching_the_latent_model_off_changes_the_subjects(spark, small, monkeypatch):
+    folder = small.replace("sf0.001", "sf0.01")
+    tables = [spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "doc_labels", "subject_areas", "eval_items")]
+    found = lambda: {(r.doc_id, r.subject) for r in subjects.subject_shares(*tables).collect()}
+    whole = found()
+    monkeypatch.setattr(subjects.LatentModel, "posterior", lambda self, votes: np.eye(self.k + 1)[np.where(votes[:, 0] > 0, votes[:, 0] - 1, self.k)])
+    assert found() != whole
+
+
+def test_only_quoted_items_go():
+    items = contamination.ItemAutomaton([(1, "name the reason for which the limit should stay".split())])
+    assert subjects.unquoted("A … Name the reason for which … B", items) == "A   B"
+    assert subjects.unquoted("A … one two … B … Name the reason for which it … C", items) == "A … one two … B   C"
+    assert subjects.unquoted("A … b", items) == "A … b"
+    assert [(s.replace("\ue000", "").strip(), "\ue000" in s) for s in subjects.sentences("One.\n\nTwo.\n## 3\nFour.")] == [("One.", False), ("Two.", True), ("Four.", True)]
 
 
 def test_sentences():
