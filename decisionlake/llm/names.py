@@ -4,15 +4,17 @@ Every distinct spelling is read in all ways that the rules of ``name_forms`` all
 
 1. *Order.*  Of a spelling's readings the one is taken whose (given, surname) other spellings share, else the one that fits
    the roles in which its outer words stand elsewhere in the corpus.
-2. *Keys.*  A key is a (given, surname) pair.  Keys meet by an equi-join on exploded forms: one letter dropped from either
-   part (two parts within one edit share such a form), or the whole name written as one word.  Each key is tied to the
-   best-supported of the keys that pass, never to all of them.  A tie by edit counts only if it is rare: the differing part
-   occurs in few keys, or in far fewer than the part beside which it stands; and it is void if the middle names differ.
-3. *Initials.*  A spelling with an initial joins the keys with that initial and surname, and is linked if they are one
-   entity: the rewriting "initial" is as rare as it needs to be.  Its middle name or initial must agree.
+2. *Keys.*  A key is a (given, surname) pair.  Parts of keys meet by an equi-join on exploded forms: one letter dropped (two
+   parts within one edit share such a form).  A pair of parts counts only if it is rare: one of them occurs in few keys, or in
+   far fewer than the other.  Keys then meet by an equi-join on the rewritten key, or on the whole name written as one word.
+   Each key is tied to the best-supported of the keys that pass, never to all of them, and not if middle names differ.
+3. *Initials.*  A spelling with an initial joins the keys with that initial and surname.  Its middle name or initial must agree.
+
+The score of a rewriting is its *rarity*: of all that the rewriting admits (better keys, weighted by their spellings; entities
+with an initial), the share of what it leads to.  Only a rewriting with a rarity above ``DECIDES`` links.
 
 Links form stars, so an entity is found by following parents (pointer doubling); nothing is collected to the driver, and pairs
-are made only of the keys of one form (one part the same, the other all but a letter), until the result itself is pairs.
+are made only of parts of one form, once for all names that have them, until the result itself is pairs.
 
 Defined cases: null, blank and placeholder names have no entity; a spelling that can't be read in two words is linked only
 to spellings that are the same as one word; repeated rows count once; empty tables give no row.
@@ -25,7 +27,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from decisionlake.llm.name_forms import joined, parse_name
 from decisionlake.session import cut
@@ -34,6 +35,8 @@ from decisionlake.session import cut
 RARE = 2
 #: So is one that occurs in so many times fewer keys than the part beside which it may be a slip.
 RARER = 5
+#: A rewriting decides if more than this share of what it admits is the one that it leads to.
+DECIDES = 0.5
 #: Most rounds of pointer doubling; a chain of 2^ROUNDS ties would be needed to outrun it, and that is checked.
 ROUNDS = 12
 
@@ -98,49 +101,70 @@ def _ordered(read: DataFrame) -> DataFrame:
 
 
 def _keys(ordered: DataFrame) -> DataFrame:
-    """``given, surname, n, middle, word, breadth_g, breadth_s``: the (given, surname) pairs with their commonest middle name."""
-    full = ordered.where(F.length("given") > 1)
-    middles = full.groupBy("given", "surname", "middle").agg(F.count("*").alias("n"), F.max("written").alias("written"))
+    """``key, given, surname, n, middle, given_w``: the (given, surname) pairs with their spellings' number and commonest middle name."""
+    middles = ordered.where(F.length("given") > 1).groupBy("given", "surname", "middle").agg(F.count("*").alias("n"), F.max("written").alias("written"))
     known = F.when(F.length("middle") > 1, F.struct("n", "middle"))
     keys = middles.groupBy("given", "surname").agg(F.sum("n").alias("n"), F.max(known)["middle"].alias("middle"), F.max(F.struct("n", "written"))["written"].alias("written"))
-    g = keys.groupBy("given").agg(F.count("*").alias("breadth_g"))
-    s = keys.groupBy("surname").agg(F.count("*").alias("breadth_s"))
-    return keys.join(g, "given").join(s, "surname").withColumn("key", F.concat_ws("|", "given", "surname")).withColumn("given_w", F.split("written", r"\|")[0])
+    return keys.select(F.concat_ws("|", "given", "surname").alias("key"), "given", "surname", "n", "middle", F.split("written", r"\|")[0].alias("given_w"))
+
+
+def _slips(parts: DataFrame) -> DataFrame:
+    """``part, other, breadth``: parts of names one of which may be a slip of the other, and how many keys have ``other``.
+
+    parts: ``part, written, breadth``, every way in which a part is written, and in how many keys it stands.  Two parts meet by
+    an equi-join on what is left when a letter goes, in sound or as written; one of them must be rare, or far rarer than the
+    other.  This is done once for each pair of parts, however many names have them.
+    """
+    read = [parts.select("part", F.col("part").alias("text"), "breadth").distinct(), parts.where("written <> part").select("part", F.col("written").alias("text"), "breadth")]
+    forms = read[0].unionByName(read[1]).select("part", "text", "breadth", F.explode(one_letter_less("text")).alias("form"))
+    # hashes are what travels; whether two texts are near is seen when they have met
+    forms = forms.select(F.xxhash64("form").alias("form"), "part", "text", "breadth")
+    other = forms.select("form", F.col("part").alias("other"), F.col("text").alias("other_text"), F.col("breadth").alias("other_breadth"))
+    few, many = F.least("breadth", "other_breadth"), F.greatest("breadth", "other_breadth")
+    met = forms.join(other, "form").where((F.col("part") != F.col("other")) & ((few <= RARE) | (few * RARER <= many)))
+    return met.where(near(F.col("text"), F.col("other_text"))).select("part", "other").distinct()
 
 
 def _parents(ordered: DataFrame, keys: DataFrame) -> DataFrame:
-    """``key, parent``: the better-established key to which a key is tied, if any.
+    """``key, parent, rarity``: the better-established key to which a key is tied, if any, and the rarity of that rewriting.
 
-    A key is better established if both its parts occur in other keys, then if more spellings share it.
+    A key is better established if both its parts occur in other keys, then if more spellings share it.  The rarity of the
+    rewriting to a key is that key's share of the spellings of all better keys that the rewriting admits and that aren't
+    variants of that key themselves.
     """
-    written = ordered.where(F.length("given") > 1).select(F.concat_ws("|", "given", "surname").alias("key"), F.split("written", r"\|")[0].alias("given_w"), F.split("written", r"\|")[1].alias("surname_w")).distinct()
+    g = keys.groupBy("given").agg(F.count("*").alias("breadth_g"))
+    s = keys.groupBy("surname").agg(F.count("*").alias("breadth_s"))
+    written = ordered.where(F.length("given") > 1).select("given", "surname", F.split("written", r"\|").alias("w")).distinct()
+    slips = {}
+    for part, at, breadth in (("given", 0, g), ("surname", 1, s)):
+        ways = written.select(F.col(part), F.get("w", F.lit(at)).alias("written")).distinct().join(breadth, part)
+        slips[part] = cut(_slips(ways.toDF("part", "written", "breadth")))
     common = F.least("breadth_g", "breadth_s")
-    ranked = keys.select("key", "given", "surname", "middle", "breadth_g", "breadth_s", F.struct((common > RARE).alias("known"), F.col("n").alias("n"), common.alias("common"), F.col("key").alias("key")).alias("rank"))
-    form = lambda kind, *parts: F.concat_ws("|", F.lit(kind), *parts)
-    less = lambda c, make: F.transform(one_letter_less(c), make)
-    forms = ranked.join(written, "key").select("*", F.explode(F.array_distinct(F.concat(
-        less("surname", lambda v: form("s", F.col("given"), v)), less("surname_w", lambda v: form("sw", F.col("given"), v)),
-        less("given", lambda v: form("g", v, F.col("surname"))), less("given_w", lambda v: form("gw", v, F.col("surname"))),
-    ))).alias("form"))
-    # every better key of a form is tried, not only the best: it may fail where the next one passes
-    better = forms.select("form", F.struct("rank", "key", "given", "surname", "middle", "breadth_g", "breadth_s", "given_w", "surname_w").alias("to"))
-    anchored = forms.join(better, "form").where("to.rank > rank")
-    by_surname = F.col("form").startswith("s")
-    met = F.when(by_surname, near(F.col("surname"), F.col("to.surname")) | near(F.col("surname_w"), F.col("to.surname_w"))).otherwise(near(F.col("given"), F.col("to.given")) | near(F.col("given_w"), F.col("to.given_w")))
-    few, many = (F.when(by_surname, f("breadth_s", "to.breadth_s")).otherwise(f("breadth_g", "to.breadth_g")) for f in (F.least, F.greatest))
-    rare = (few <= RARE) | (few * RARER <= many)
-    ours, theirs = F.col("middle"), F.col("to.middle")
+    ranked = keys.join(g, "given").join(s, "surname").select("key", "given", "surname", "middle", "n", F.struct((common > RARE).alias("known"), F.col("n").alias("n"), common.alias("common"), F.col("key").alias("key")).alias("rank"))
+    ranked = cut(ranked)
+    there = ranked.select(F.col("key").alias("to"), F.col("middle").alias("theirs"), F.col("rank").alias("to_rank"), F.col("n").alias("to_n"))
+    tried = None
+    for part, to in (("given", F.concat_ws("|", "other", "surname")), ("surname", F.concat_ws("|", "given", "other"))):
+        one = ranked.join(slips[part], F.col(part) == F.col("part")).select("key", "middle", "rank", to.alias("to"))
+        tried = one if tried is None else tried.unionByName(one)
+    ours, theirs = F.col("middle"), F.col("theirs")
     agree = near(ours, theirs) | ours.startswith(theirs) | theirs.startswith(ours)
-    edits = anchored.where(met & rare & F.coalesce(agree, F.lit(True)))
-    words = ordered.where((F.length("given") > 1) & ~F.col("given").startswith("#")).select(F.concat_ws("|", "given", "surname").alias("key"), F.explode("words").alias("word")).distinct().join(ranked.select("key", "rank"), "key")
-    same = words.withColumn("to", F.max("rank").over(Window.partitionBy("word"))).where("to > rank")
-    ties = edits.select("key", "to.rank").unionByName(same.select("key", F.col("to").alias("rank")))
-    return ties.groupBy("key").agg(F.max("rank")["key"].alias("parent"))
+    edits = tried.join(there, "to").where((F.col("to_rank") > F.col("rank")) & F.coalesce(agree, F.lit(True))).select("key", "to_rank", "to_n")
+    words = ordered.where((F.length("given") > 1) & ~F.col("given").startswith("#")).select(F.concat_ws("|", "given", "surname").alias("key"), F.explode("words").alias("word")).distinct().join(ranked.select("key", "rank", "n"), "key")
+    best = words.groupBy("word").agg(F.max(F.struct("rank", "n")).alias("to"))
+    same = words.join(best, "word").where("to.rank > rank").select("key", F.col("to.rank").alias("to_rank"), F.col("to.n").alias("to_n"))
+    pairs = cut(edits.unionByName(same).select("key", F.col("to_rank.key").alias("to"), "to_rank", F.col("to_n").alias("n")).distinct())
+    best = pairs.groupBy("key").agg(F.max(F.struct("to_rank", "n")).alias("best")).select("key", F.col("best.to_rank.key").alias("parent"), F.col("best.n").alias("own"))
+    # a better key that may itself be written for the best one is no rival of it
+    rivals = pairs.join(best, "key").where("to <> parent").select("key", "to", "parent", "n")
+    rivals = rivals.join(pairs.select(F.col("key").alias("to"), F.col("to").alias("parent")), ["to", "parent"], "left_anti").groupBy("key").agg(F.sum("n").alias("others"))
+    ties = best.join(rivals, "key", "left").select("key", "parent", (F.col("own") / (F.col("own") + F.coalesce("others", F.lit(0)))).alias("rarity"))
+    return ties.where(F.col("rarity") > DECIDES)
 
 
 def _roots(keys: DataFrame, parents: DataFrame) -> DataFrame:
     """``key, root`` for every key, by pointer doubling."""
-    at = cut(keys.select("key").join(parents, "key", "left").select("key", F.coalesce("parent", "key").alias("root")))
+    at = cut(keys.select("key").join(parents.select("key", "parent"), "key", "left").select("key", F.coalesce("parent", "key").alias("root")))
     for _ in range(ROUNDS):
         up = at.select(F.col("key").alias("root"), F.col("root").alias("next"))
         further = cut(at.join(up, "root", "left").select("key", F.coalesce("next", "root").alias("root"), (F.coalesce("next", "root") != F.col("root")).alias("moved")))
@@ -155,9 +179,10 @@ def entities(read: DataFrame) -> DataFrame:
     read = cut(read)
     ordered = cut(_ordered(read))
     keys = cut(_keys(ordered))
-    roots = cut(keys.join(_roots(keys, _parents(ordered, keys)), "key"))
-    whole = ordered.where(F.length("given") > 1).withColumn("key", F.concat_ws("|", "given", "surname")).join(roots.select("key", "root"), "key")
-    whole = whole.select("name", F.col("root").alias("entity"), F.when(F.col("key") == F.col("root"), "key").otherwise("slip").alias("rule"), F.lit(1.0).alias("rarity"))
+    parents = cut(_parents(ordered, keys))
+    roots = cut(keys.join(_roots(keys, parents), "key").join(parents.select("key", "rarity"), "key", "left"))
+    whole = ordered.where(F.length("given") > 1).withColumn("key", F.concat_ws("|", "given", "surname")).join(roots.select("key", "root", "rarity"), "key")
+    whole = whole.select("name", F.col("root").alias("entity"), F.when(F.col("key") == F.col("root"), "key").otherwise("slip").alias("rule"), F.coalesce("rarity", F.lit(1.0)).alias("rarity"))
 
     initials = ordered.where(F.length("given") == 1)
     people = roots.where(~F.col("given").startswith("#"))
@@ -168,7 +193,7 @@ def entities(read: DataFrame) -> DataFrame:
     candidates = met.withColumn("fits", fits).where("fits IS NOT NULL").groupBy("name", "root").agg(F.max(F.struct((F.col("read") == F.col("surname")).cast("int").alias("exact"), "fits")).alias("q"))
     best = candidates.groupBy("name").agg(F.max("q").alias("best"))
     top = candidates.join(best, "name").where("q = best").groupBy("name").agg(F.count("*").alias("n"), F.max("root").alias("entity"))
-    linked = top.where("n = 1").select("name", "entity", F.lit("initial").alias("rule"), (1.0 / F.col("n")).alias("rarity"))
+    linked = top.select("name", "entity", F.lit("initial").alias("rule"), (1.0 / F.col("n")).alias("rarity")).where(F.col("rarity") > DECIDES)
 
     # what is left is its own reading
     own = initials.select("name", F.concat_ws("|", F.lit("~"), "given", "middle", "surname").alias("reading"))
