@@ -91,3 +91,41 @@ def test_links_over_a_table_agree_with_plain_rules(spark, small):
     for event, email in zip(t["fraud_raw"].event_id, t["fraud_raw"].email):
         if event and email and email.strip().lower() in owner:
             assert (owner[email.strip().lower()], event.strip().upper()) in links
+
+
+def test_twins_and_shared_phones_are_rivals(spark):
+    feed = spark.createDataFrame(
+        [("u1", "Amina Gilgemses", "1990-01-02", "+971501111111", "amina.g@mail.example"), ("u2", "Ahmed Gilgemses", "1990-01-02", "+971501111111", "ahmed.g@mail.example"), ("u3", "Omar Polwutim", "1985-05-06", "+971502222222", "omar.p@mail.example")],
+        "internal_customer_uuid string, full_name string, date_of_birth string, phone string, email string",
+    )
+    aml = spark.createDataFrame([("A1", "A. Gilgemses", "1990-01-02"), ("A2", "Amina Gilgemses", "1990-01-02"), ("A3", "Ahmed Gilgemses", None), ("A4", "O. Polwutin", "1985-05-06")], "screening_ref string, full_name string, date_of_birth string")
+    assert {(r[0], r[1]) for r in linkage.screening_links(aml, feed).collect()} == {("u1", "A2"), ("u2", "A3"), ("u3", "A4")}
+    fraud = spark.createDataFrame([("F1", "+971501111111", None), ("F2", "+971502222222", None), ("F3", "+971502222222", "someone@else.example"), ("F4", "+971502222222", "omra.p@mail.example"), ("F5", None, "a.g@mail.example")], "event_id string, phone string, email string")
+    assert {(r[0], r[1]) for r in linkage.fraud_links(fraud, feed).collect()} == {("u3", "F2"), ("u3", "F4")}
+
+
+def test_long_chains_settle(spark):
+    chain = [(f"d{i}", f"u{i + j}", f"s{i}", 4.0 + (i == 0 and j == 0)) for i in range(12) for j in (0, 1)]
+    p = linkage.marginals(spark.createDataFrame(chain, "descriptor string, customer string, slot string, prior double")).collect()
+    assert len(p) == 24 and all(0 <= r.probability <= 1 for r in p)
+    with pytest.raises(RuntimeError):
+        linkage.marginals(spark.createDataFrame(chain, "descriptor string, customer string, slot string, prior double"), rounds=2)
+
+
+def test_switching_propagation_off_changes_the_links(spark, small, monkeypatch):
+    tables = [table(spark, small, t) for t in ("aml_raw", "fraud_raw", "aecb_credit_report", "customer_profile_raw")]
+    found = lambda: {(r[0], r[1]) for r in linkage.customer_links(*tables).collect()}
+    whole = found()
+    monkeypatch.setattr(linkage, "marginals", lambda c: c.select("descriptor", "customer", linkage._logistic(c["prior"]).alias("probability")))
+    assert found() > whole
+
+
+def test_switching_rarity_off_changes_the_entities(spark, monkeypatch):
+    """Rina is one edit from Rita and from Nina: nothing says which is meant."""
+    rows = [f"{g} {s}" for g in ("Rita", "Nina", "Omar") for s in ("Rumsunfor", "Gilgemses", "Polwutim")] + ["Rumsunfor, Rita", "Rumsunfor, Nina", "Rina Rumsunfor"]
+    df = spark.createDataFrame([(n,) for n in rows], "full_name string")
+    entity = lambda: {r.name: r.entity for r in names.entities(names.spellings(df)).collect()}
+    apart = entity()
+    assert apart["Rina Rumsunfor"] not in (apart["Rita Rumsunfor"], apart["Nina Rumsunfor"])
+    monkeypatch.setattr(names, "DECIDES", 0.0)
+    assert entity()["Rina Rumsunfor"] in (apart["Rita Rumsunfor"], apart["Nina Rumsunfor"])
