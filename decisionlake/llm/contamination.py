@@ -6,8 +6,11 @@ of its last ``STRETCH`` words tells all places where those words stand in the it
 stretches of at least STRETCH words are unions of such windows, so nothing is lost.)  An item leaks into a text if at least
 ``SHARE`` of its words are covered.
 
+Spans are removed from the texts by two limits: a stretch of ``LONG`` words or more goes whatever its item, and all stretches
+of an item go that leaks into the text.
+
 The items are a fixed set; they are taken in blocks of at most ``BLOCK_WORDS`` words, so that what a task holds is bounded
-also for a larger set.  The texts are read once, without shuffle.
+also for a larger set.  The texts are read without shuffle, once for each block; what is removed, for all blocks at once.
 
 Defined cases: null and empty texts hold no item; an item without words leaks nowhere; equal items both leak; case, accents,
 punctuation, markup and spacing don't matter.
@@ -25,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 STRETCH = 4
+#: A stretch of so many words is removed even if its item isn't covered further.
+LONG = 12
 SHARE = 0.5
 BLOCK_WORDS = 200_000
 
@@ -131,13 +136,78 @@ class ItemAutomaton:
                 met.add(window[state])
         return met
 
-    def leaks(self, words: list[str], share: float = SHARE) -> list[tuple[int, float]]:
-        """``(item, covered share)`` of the items of which at least ``share`` is covered."""
+    def spans(self, words: list[str], share: float = SHARE, long: int = LONG) -> list[bool]:
+        """Which words to remove: those of stretches of ``long`` words, and of stretches of items that leak."""
+        leaked = {n for n, (item, _) in enumerate(self.items)} & {n for n, _ in self._covered(words, share)}
+        out, state, n = [False] * len(words), 0, 0
+        for i, word in enumerate(words):
+            while word not in self.next[state] and state > 0:
+                state = self.link[state]
+                n = self.length[state]
+            if word not in self.next[state]:
+                n = 0
+                continue
+            state, n = self.next[state][word], n + 1
+            if n >= long:
+                out[i - n + 1 : i + 1] = [True] * n
+            elif n >= self.stretch and any(item in leaked for item, _ in self.ends[self.window[state]]):
+                out[i - self.stretch + 1 : i + 1] = [True] * self.stretch
+        return out
+
+    def _covered(self, words: list[str], share: float) -> list[tuple[int, float]]:
         covered: dict[int, set[int]] = {}
         for state in self.stretches(words):
             for n, end in self.ends[state]:
                 covered.setdefault(n, set()).update(range(end - self.stretch + 1, end + 1))
-        return [(self.items[n][0], len(c) / len(self.items[n][1])) for n, c in sorted(covered.items()) if len(c) >= share * len(self.items[n][1])]
+        return [(n, len(c) / len(self.items[n][1])) for n, c in sorted(covered.items()) if len(c) >= share * len(self.items[n][1])]
+
+    def leaks(self, words: list[str], share: float = SHARE) -> list[tuple[int, float]]:
+        """``(item, covered share)`` of the items of which at least ``share`` is covered."""
+        return [(self.items[n][0], c) for n, c in self._covered(words, share)]
+
+
+_PIECE = re.compile(r"<[^<>]*>|&(?:#\d+|#[xX][0-9a-fA-F]+|\w+);?|[ÃÂØÙ][\u0080-ÿŒ-™]|â[\u0080-ÿŒ-™€]{2}|.", re.S)
+
+
+def located(text: str) -> list[tuple[str, int, int]] | None:
+    """The normalised words with where each begins and ends in the text; None if they can't be told apart there."""
+    letters: list[str] = []
+    begins: list[int] = []
+    ends: list[int] = []
+    for m in _PIECE.finditer(text):
+        piece = m[0]
+        if len(piece) > 1:
+            piece = " " if piece[0] == "<" else html.unescape(piece) if piece[0] == "&" else _repaired(piece)
+        for c in _HIDDEN.sub("", unicodedata.normalize("NFKD", piece)):
+            if not unicodedata.combining(c):
+                for folded in c.casefold():
+                    letters.append(folded)
+                    begins.append(m.start())
+                    ends.append(m.end())
+    found = [(m[0], begins[m.start()], ends[m.end() - 1]) for m in _WORD.finditer("".join(letters))]
+    return found if [w for w, *_ in found] == normalised(text) else None
+
+
+def without(text: str, automaton: ItemAutomaton, share: float = SHARE, long: int = LONG) -> tuple[str, int]:
+    """The text without the spans to remove, and how many words went; the rest stays letter by letter.
+
+    Where words can't be located in the text (mixed encodings), it becomes the kept words in their normalised form.
+    """
+    words = normalised(text)
+    gone = automaton.spans(words, share, long)
+    count = sum(gone)
+    if not count:
+        return text, 0
+    places = located(text)
+    if places is None:
+        return " ".join(w for w, g in zip(words, gone) if not g), count
+    out, at = [], 0
+    for i, (_, begin, end) in enumerate(places):
+        if gone[i]:
+            if i == 0 or not gone[i - 1]:
+                out.append(text[at:begin])
+            at = end
+    return "".join([*out, text[at:]]), count
 
 
 def blocks(items: list[tuple[int, list[str]]], most: int = BLOCK_WORDS) -> Iterator[list[tuple[int, list[str]]]]:
@@ -178,3 +248,24 @@ def leaked_items(texts: DataFrame, identifier: str, text: str, items: DataFrame,
     for other in parts[1:]:
         out = out.unionByName(other)
     return out
+
+
+def cleaned(texts: DataFrame, identifier: str, text: str, items: DataFrame, passage: str, share: float = SHARE, long: int = LONG) -> DataFrame:
+    """``identifier, text, removed_words`` of every row: its text without the spans over the limits.
+
+    A null text stays null with nothing removed.  Blocks of items follow one another in one pass over the texts.
+    """
+    spark, kind = texts.sparkSession, texts.schema[identifier].dataType.simpleString()
+    schema = f"`{identifier}` string, `{text}` string, removed_words long"
+    out = texts.select(F.col(identifier).cast("string").alias(identifier), text, F.lit(0).cast("long").alias("removed_words"))
+    listed = [(n, w) for n, r in enumerate(items.select(passage).distinct().orderBy(passage).toLocalIterator()) if (w := normalised(r[0]))]  # the fixed test set
+    for block in blocks(listed):
+        shared = spark.sparkContext.broadcast(ItemAutomaton(block))
+
+        def scan(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                done = [without(t, shared.value, share, long) if isinstance(t, str) else (None, 0) for t in batch[text]]
+                yield pd.DataFrame({identifier: batch[identifier], text: [t for t, _ in done], "removed_words": batch["removed_words"] + [n for _, n in done]})
+
+        out = out.mapInPandas(scan, schema)
+    return out.withColumn(identifier, F.col(identifier).cast(kind))

@@ -66,6 +66,12 @@ def p9_coverage(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.select("doc_id", "item_id", F.round("covered", 4).alias("covered"))
 
 
+def p9_cleaned(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the spans of evaluation items that exceed the limits of length or coverage."""
+    texts, items = table(spark, folder, "documents"), table(spark, folder, "eval_items")
+    return contamination.cleaned(texts, "doc_id", "text", items, "passage")
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     """The subject areas that each document is about."""
     return p10_shares(spark, folder).select("doc_id", "subject")
@@ -77,7 +83,7 @@ def p10_shares(spark: SparkSession, folder: str) -> DataFrame:
     return shares.select("doc_id", "subject", F.round("share", 4).alias("share"), F.round("probability", 4).alias("probability"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p4_found, p4_person, p5_found, p5_confidence, p8_ids, p9_found, p9_coverage, p10_found, p10_shares)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p4_found, p4_person, p5_found, p5_confidence, p8_ids, p9_found, p9_coverage, p9_cleaned, p10_found, p10_shares)}
 
 ORACLES = {
     "p4_found": f"""

@@ -6,8 +6,9 @@ the one token that ends there such that the pair (last token of the prefix befor
 Encodings of shared prefixes are thus computed once, and a word's ids are read off by walking back from its node.  The cost
 is linear in the bytes of the trie, also for a word of a million letters.
 
-The trie stays in the Python worker between batches and is dropped when it reaches ``NODES`` nodes, so that memory is bounded
-whatever the corpus; no word crosses the network.
+The trie stays in the Python worker between batches.  Texts are taken in runs of at most ``RUN`` characters (or one text), and
+after each run trie and known pairs are dropped where they have reached ``NODES``, so that memory is bounded whatever the
+corpus; no word crosses the network.  The driver reads the vocabulary and broadcasts it (under 1 MB); workers need no file.
 
 Defined cases: null and empty texts give an empty list; special tokens' strings are ordinary text; text is taken exactly as
 stored, broken and decomposed characters included.
@@ -25,8 +26,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Nodes of a worker's trie at most (about 250 bytes each).
+#: Nodes of a worker's trie (about 250 bytes each), and known pairs, that are kept from one run of texts to the next.
 NODES = 400_000
+#: Characters of a run.
+RUN = 1_000_000
 FOLDER = os.environ.get("DECISIONLAKE_TOKENIZERS", "/opt/tokenizers")
 # The pattern by which this kind of tokenizer splits a text.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -40,7 +43,7 @@ class TrieEncoder:
         self.tokens = {i: t for t, i in ranks.items()}
         self.longest = max(map(len, ranks))
         self.split = regex.compile(pattern).findall
-        self.stable: dict[tuple[int, int], bool] = {}
+        self.stable: dict[tuple[int, int], bool] = {}  # pairs of tokens that the merges leave alone, or don't
         self.own = {i for t, i in ranks.items() if len(t) == 1 or len(t) > 1 and self.merged(t) == [i]}
         self.clear()
 
@@ -91,6 +94,18 @@ class TrieEncoder:
         return node
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
+        out: list[list[int]] = []
+        run: list[str | None] = []
+        held = 0
+        for text in texts:
+            if run and held + len(text or "") > RUN:
+                out += self._run(run)
+                run, held = [], 0
+            run.append(text)
+            held += len(text or "")
+        return out + self._run(run)
+
+    def _run(self, texts: list[str | None]) -> list[list[int]]:
         split = [self.split(t) if t else [] for t in texts]
         fresh = {w for words in split for w in words} - self.words.keys()
         for word in sorted(fresh):  # sorted words run through the trie depth first
@@ -103,26 +118,28 @@ class TrieEncoder:
         out = [[i for w in words for i in known[w]] for words in split]
         if len(self.children) > self.nodes:
             self.clear()
+        if len(self.stable) > self.nodes:
+            self.stable.clear()
         return out
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> TrieEncoder:
-    """The encoder of a vocabulary file of base64 tokens and ranks, once per worker."""
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return TrieEncoder(ranks)
+def encoder(vocabulary: bytes) -> TrieEncoder:
+    """The encoder of a vocabulary, lines of base64 tokens and ranks, once per worker."""
+    return TrieEncoder({base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())})
 
 
 def token_ids(texts: DataFrame, identifier: str, text: str, path: str | None = None) -> DataFrame:
     """``identifier, ids`` for every row, without a shuffle."""
-    path = path or os.path.join(FOLDER, "byte_bpe_50k.tiktoken")
+    with open(path or os.path.join(FOLDER, "byte_bpe_50k.tiktoken"), "rb") as file:
+        shared = texts.sparkSession.sparkContext.broadcast(file.read())
     kind = texts.schema[identifier].dataType.simpleString()
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids = encoder(shared.value)
         for batch in batches:
             found = [None if t is None or t != t else t for t in batch[text].tolist()]
-            yield pd.DataFrame({identifier: batch[identifier], "ids": encoder(path).encode(found)})
+            yield pd.DataFrame({identifier: batch[identifier], "ids": ids.encode(found)})
 
     # ids travel as text: whole numbers beside nulls would come as floating point
     named = texts.select(F.col(identifier).cast("string").alias(identifier), text)

@@ -25,7 +25,7 @@ def test_trie_encoding_equals_merging(reference):
     rng = random.Random(3)
     made = ["".join(rng.choice("abcdeéstinoلم 0123.,'-\n") for _ in range(rng.randrange(200))) for _ in range(300)]
     texts = TEXTS + made
-    got = tokenizer.encoder(f"{tokenizer.FOLDER}/byte_bpe_50k.tiktoken").encode(texts)
+    got = tokenizer.encoder(open(f"{tokenizer.FOLDER}/byte_bpe_50k.tiktoken", "rb").read()).encode(texts)
     assert got == [reference.encode_ordinary(t) if t else [] for t in texts]
 
 
@@ -113,6 +113,31 @@ def test_survivors(spark):
     assert survivors.surviving_fields(keyed.limit(0), "master_customer_id", survivors.person_bundles(), survivors.source_trust(F.col("source_system")), "updated_timestamp").count() == 0
 
 
+def test_spans_are_removed_by_length_and_coverage(spark):
+    """Against a search of every stretch in every item, on random words."""
+    rng = random.Random(8)
+    items = [(n, [rng.choice("abcdef") for _ in range(rng.randrange(3, 24))]) for n in range(6)]
+    automaton = contamination.ItemAutomaton(items)
+    for _ in range(60):
+        words = [rng.choice("abcdefx") for _ in range(20)]
+        words[5:5] = rng.choice(items)[1][: rng.randrange(0, 20)]
+        stands = lambda span: [n for n, (_, w) in enumerate(items) if any(w[i : i + len(span)] == span for i in range(len(w)))]
+        leaked = {i for i, _ in automaton.leaks(words)}
+        want = [False] * len(words)
+        for i in range(len(words)):
+            for j in range(i + 4, len(words) + 1):
+                there = stands(words[i:j])
+                if there and (j - i >= contamination.LONG or (j - i == 4 and leaked & set(there))):
+                    want[i:j] = [True] * (j - i)
+        assert automaton.spans(words) == want
+    passage = "name the unexpected reason for which the sanctions list should not have reported anything in May"
+    rows = [(1, f"Before. <b>{passage.upper()}</b>, after."), (2, "The sanctions list should not be long."), (3, None), (4, ""), (5, f"É {passage.replace('e', 'é')}!"), (None, "x")]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").withColumn("removed_words", F.lit("clash"))
+    got = {r.doc_id: (r.text, r.removed_words) for r in contamination.cleaned(texts, "doc_id", "text", spark.createDataFrame([(passage,), (None,)], "passage string"), "passage").collect()}
+    assert got == {1: ("Before. <b></b>, after.", 16), 2: (rows[1][1], 0), 3: (None, 0), 4: ("", 0), 5: ("É !", 16), None: ("x", 0)}
+    assert contamination.cleaned(texts.limit(0), "doc_id", "text", spark.createDataFrame([], "passage string"), "passage").count() == 0
+
+
 # ---- subjects --------------------------------------------------------------------------------------------------------
 def corpus(rng, n):
     words = {"credit": ("the limit committee", "a counter-offer", "lowered"), "fraud": ("the velocity rule", "a cloned card", "blocked"), "data": ("the profiling run", "the null spike", "failed")}
