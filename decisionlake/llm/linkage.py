@@ -51,9 +51,10 @@ def _logistic(c: Column) -> Column:
 
 def marginals(candidates: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``descriptor, customer, probability`` from ``descriptor, customer, slot, prior`` (log odds), one row per pair."""
+    candidates = cut(candidates.select("descriptor", "customer", "slot", "prior"))
     alone = candidates.groupBy("descriptor").agg((F.count("*") == 1).alias("sole"))
     owned = candidates.groupBy("customer").agg((F.min("slot") == F.max("slot")).alias("one"))
-    known = cut(candidates.select("descriptor", "customer", "slot", "prior").join(alone, "descriptor").join(owned, "customer"))
+    known = cut(candidates.join(alone, "descriptor").join(owned, "customer"))
     settled = known.where("sole AND one").select("descriptor", "customer", _logistic(F.col("prior")).alias("probability"))
     now = cut(known.where("NOT (sole AND one)").select("descriptor", "customer", "slot", "prior", F.lit(0.0).alias("down"), F.lit(0.0).alias("across"), F.col("prior").alias("belief")))
     if now.isEmpty():
@@ -140,7 +141,7 @@ def screening_evidence(screenings: DataFrame, feed: DataFrame) -> tuple[DataFram
     births = cut(births.join(weights, "born"))
 
     read = cut(asked.join(named, "full_name").select("record_key", "entity", "born").distinct())
-    wanted = read.select("entity", "born").distinct()
+    wanted = cut(read.select("entity", "born").distinct())
     agreeing = wanted.join(people.join(births, "customer"), ["entity", "born"]).select("entity", "born", "customer", "dated", "weight")
     # an initial and nearly the surname of a customer with that birth date, whether names alone place the spelling or not
     outer = lambda e, at: F.get(F.split(e, r"\|"), F.lit(at))
@@ -152,7 +153,7 @@ def screening_evidence(screenings: DataFrame, feed: DataFrame) -> tuple[DataFram
     ours = wanted.where(person & F.col("born").isNotNull()).select("entity", "born", initial(F.col("entity")).alias("initial"), surname(F.col("entity")).alias("surname")).withColumn("block", blocks(F.col("surname")))
     theirs = people.where(person).join(births, "customer").select("customer", "born", "weight", initial(F.col("entity")).alias("initial"), surname(F.col("entity")).alias("their")).distinct().withColumn("block", blocks(F.col("their")))
     alike = ours.join(theirs, ["born", "initial", "block"]).where(names.near(F.col("surname"), F.col("their"))).select("entity", "born", "customer", F.lit(True).alias("dated"), "weight").distinct()
-    by_date = agreeing.select("*", F.lit(NAME).alias("odds")).unionByName(alike.select("*", F.lit(INITIAL).alias("odds")))
+    by_date = cut(agreeing.select("*", F.lit(NAME).alias("odds")).unionByName(alike.select("*", F.lit(INITIAL).alias("odds"))))
     dated = by_date.select(F.concat_ws("~", "entity", "born").alias("descriptor"), "entity", "customer", F.lit(True).alias(_OWN), (F.col("odds") + F.col("weight")).alias("prior"))
 
     met = by_date.select("entity", "born").distinct().withColumn("met", F.lit(True))
@@ -160,8 +161,8 @@ def screening_evidence(screenings: DataFrame, feed: DataFrame) -> tuple[DataFram
     every = cut(wanted.join(met, ["entity", "born"], "left").select("entity", "born", "met", described.alias("descriptor")))
     rest = every.where("met IS NULL").select("descriptor", "entity", F.col("born").isNull().alias("undated")).distinct()
     by_name = rest.join(people, "entity").select("descriptor", "entity", "customer", F.col("dated").alias(_OWN), (F.lit(NAME) + F.when(F.col("undated"), 0.0).otherwise(F.log(F.lit(1 - RIGHT_DATE)))).alias("prior"))
-    pairs = dated.unionByName(by_name).groupBy("descriptor", "entity", "customer").agg(F.max(_OWN).alias(_OWN), F.max("prior").alias("prior"))
-    records = _described(read, every)
+    pairs = cut(dated.unionByName(by_name).groupBy("descriptor", "entity", "customer").agg(F.max(_OWN).alias(_OWN), F.max("prior").alias("prior")))
+    records = cut(_described(read, every))
     return records, _slotted(pairs).select("descriptor", "customer", "slot", "prior")
 
 
@@ -189,10 +190,10 @@ def fraud_evidence(events: DataFrame, feed: DataFrame) -> tuple[DataFrame, DataF
 
     addresses = emails.select("email").distinct()
     strange = wanted.where("email IS NOT NULL").select("email").distinct().join(addresses, "email", "left_anti")
-    typed = _near_addresses(strange, addresses).join(emails.withColumnRenamed("email", "theirs"), "theirs").select("email", "customer").distinct()
+    typed = cut(_near_addresses(cut(strange), addresses)).join(emails.withColumnRenamed("email", "theirs"), "theirs").select("email", "customer").distinct()
     by_address = emails.select("email", "customer", F.lit(ADDRESS).alias("odds")).unionByName(typed.select("email", "customer", F.lit(NEAR).alias("odds")))
     has = phones.select("customer", "phone", F.lit(1.0).alias("same"))
-    by_email = wanted.join(by_address, "email").join(has, ["customer", "phone"], "left").select("descriptor", "customer", F.lit(_OWN).alias("slot"), (F.col("odds") + F.coalesce("same", F.lit(0.0))).alias("prior"))
+    by_email = cut(wanted.join(by_address, "email").join(has, ["customer", "phone"], "left").select("descriptor", "customer", F.lit(_OWN).alias("slot"), (F.col("odds") + F.coalesce("same", F.lit(0.0))).alias("prior")))
     called = wanted.where("email IS NULL").join(phones, "phone").select("descriptor", "customer", F.lit(_OWN).alias("slot"), F.lit(PHONE).alias("prior"))
     # beside an address the phone of one customer alone is evidence; that address is then another identity than the customer's own
     sole = phones.groupBy("phone").agg(F.count("*").alias("n"), F.max("customer").alias("customer")).where("n = 1")
