@@ -78,9 +78,9 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p10_shares(spark: SparkSession, folder: str) -> DataFrame:
-    """The same with each subject's expected share of the sentences about any, and how likely it is at least a sixth."""
+    """The same with each subject's expected share of the sentences about any."""
     shares = subjects.subject_shares(*[table(spark, folder, t) for t in ("documents", "doc_labels", "subject_areas", "eval_items")])
-    return shares.select("doc_id", "subject", F.round("share", 4).alias("share"), F.round("probability", 4).alias("probability"))
+    return shares.select("doc_id", "subject", F.round("share", 4).alias("share"))
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p4_found, p4_person, p5_found, p5_confidence, p8_ids, p9_found, p9_coverage, p9_cleaned, p10_found, p10_shares)}

@@ -52,8 +52,6 @@ ROUNDS = 12
 #: A quotation holds so many different words' places of an item, with so many other words in a row at most.
 QUOTED = 14
 GAP = 10
-#: A sentence this sure counts as settled when a document's probabilities are added up.
-SETTLED = 0.99
 #: The functions that look at a sentence's own words are held to speak of subjects only with the weight of this share of all
 #: sentences; without that, sentences about none could as well be ones that the functions overlook.
 FIRM = 0.25
@@ -235,13 +233,12 @@ class SubjectModel:
         return hosts[0][0] + 1 if hosts else 0
 
     # ---- the lexicon ----------------------------------------------------------------------------------------------
-    def learn(self, texts: list[str], given: list[list[int]]) -> None:
-        """Semi-supervised naive Bayes: a labelled document's sentences are about one of its subjects, or about none."""
-        c, k = self.coded(texts), len(self.subjects)
-        m = len(c["doc"])
+    def learn(self, c: dict[str, np.ndarray], given: list[list[int]]) -> None:
+        """Naive Bayes by expectation maximisation: a labelled document's sentences are about one of its subjects, or about none."""
+        k, m = len(self.subjects), len(c["doc"])
         if not m:
             return
-        may = np.full((len(texts), k + 1), 0.03)
+        may = np.full((len(given), k + 1), 0.03)
         may[:, k] = 0.4
         for n, subjects in enumerate(given):
             may[n, subjects] = 1.0
@@ -264,19 +261,19 @@ class SubjectModel:
 
     def teach(self, texts: list[str], given: list[list[int]]) -> None:
         """Learn from all, after a test: each half's votes by what the other half taught, against the half's own labels."""
+        coded = self.coded(texts)
         right = said = 0
         for half in (0, 1):
             self.weights[:] = 0
-            self.learn(texts[1 - half :: 2], given[1 - half :: 2])
-            c = self.coded(texts[half::2])
+            self.learn(_of_documents(coded, coded["doc"] % 2 != half), given)
+            c = _of_documents(coded, coded["doc"] % 2 == half)
             votes = self.lexicon(c)
-            own = given[half::2]
             for n, v in zip(c["doc"][votes > 0], votes[votes > 0]):
                 said += 1
-                right += int(v) - 1 in own[n]
+                right += int(v) - 1 in given[n]
         self.tested = (right + 1) / (said + 2) if said else None
         self.weights[:] = 0
-        self.learn(texts, given)
+        self.learn(coded, given)
 
     def lexicon(self, c: dict[str, np.ndarray]) -> np.ndarray:
         """1 + the subject of which a sentence's terms make sure, else 0."""
@@ -305,6 +302,13 @@ class SubjectModel:
         return c["doc"], lexicon, lexicon + b * (c["title"] + b * (section + b * c["address"]))
 
 
+def _of_documents(c: dict[str, np.ndarray], kept: np.ndarray) -> dict[str, np.ndarray]:
+    """Some of the coded sentences."""
+    of = np.cumsum(kept) - 1
+    terms = kept[c["of"]]
+    return {k: v[terms] if k in ("terms", "of") else v[kept] for k, v in c.items()} | {"of": of[c["of"][terms]]}
+
+
 def _leading(counts: np.ndarray) -> np.ndarray:
     """1 + the column that leads in each row; 0 without a single leader."""
     if not len(counts):
@@ -361,41 +365,42 @@ class LatentModel:
             self.prior = (p.sum(0) + 1) / (total + self.k + 1)
 
 
-def share_probabilities(posterior: np.ndarray, share: float = SHARE) -> tuple[np.ndarray, np.ndarray]:
-    """Of one document's sentences: the expected share of each subject, and the probability that it is at least ``share``.
+def reaches(posterior: np.ndarray, s: int, share: float = SHARE) -> float:
+    """The probability that at least ``share`` of a document's sentences about any subject are about subject s, and some are.
 
-    A sentence about the subject adds 1 - share, one about another takes share away; the sum must not be negative.  Settled
-    sentences are added as they are, the others' distribution is folded in one after another.
+    A sentence about s adds 1 / share - 1, one about another takes 1; the sum must not be negative.  The sentences'
+    distributions are folded in one after another.
     """
-    k = posterior.shape[1] - 1
-    about = posterior[:, :k].sum(0)
-    expected = about / max(about.sum(), 1e-12)
-    unit = round(1 / share)  # in whole numbers: + (unit - 1), - 1
-    settled = posterior.max(1) >= SETTLED
-    best = posterior.argmax(1)
-    fixed = np.bincount(best[settled], minlength=k + 1)
-    any_fixed = fixed[:k].sum()
-    open_ = posterior[~settled]
-    out = np.zeros(k)
-    for s in np.nonzero(expected > 1e-9)[0]:
-        start = unit * fixed[s] - any_fixed
-        if not len(open_):
-            out[s] = float(start >= 0 and fixed[s] > 0)
-            continue
-        # mass over (sum, whether the subject was met at all)
-        n = len(open_)
-        mass = np.zeros((2, unit * n + n + 1))
-        zero = n
-        mass[int(fixed[s] > 0), zero] = 1.0
-        for p in open_:
-            yes, other, none = p[s], p[:k].sum() - p[s], p[k]
-            moved = mass * none
-            moved[:, :-1] += mass[:, 1:] * other
-            moved[1, unit - 1 :] += (mass[0] + mass[1])[: mass.shape[1] - unit + 1] * yes
-            mass = moved
-        first = max(0, zero - start)
-        out[s] = mass[1, first:].sum() if first < mass.shape[1] else 0.0
-    return expected, out
+    k, unit, n = posterior.shape[1] - 1, round(1 / share), len(posterior)
+    mass = np.zeros((2, (unit + 1) * n + 1))  # whether s was met at all; the sum, beginning at -n
+    mass[0, n] = 1.0
+    for p in posterior:
+        yes, none = p[s], p[k]
+        moved = mass * none
+        moved[:, :-1] += mass[:, 1:] * (1 - yes - none)
+        moved[1, unit - 1 :] += (mass[0] + mass[1])[: mass.shape[1] - unit + 1] * yes
+        mass = moved
+    return float(mass[1, n:].sum())
+
+
+def assigned(posterior: np.ndarray, starts: np.ndarray, share: float = SHARE) -> tuple[np.ndarray, np.ndarray]:
+    """Of documents, each with the sentences from its start on: expected shares, and which subjects are likelier than not.
+
+    Where the mean of the sum of ``reaches`` lies further from the limit than its deviation, Cantelli's inequality settles
+    whether the probability exceeds one half; only the others are folded.
+    """
+    k, unit = posterior.shape[1] - 1, round(1 / share)
+    about = posterior[:, :k]
+    other = about.sum(1, keepdims=True) - about
+    mean = (unit - 1) * about - other
+    spread = (unit - 1) ** 2 * about + other - mean**2
+    total = np.add.reduceat(about, starts)
+    mean, deviation = np.add.reduceat(mean, starts), np.sqrt(np.maximum(np.add.reduceat(spread, starts), 0))
+    out = mean - 0.5 > deviation
+    ends = np.r_[starts[1:], len(posterior)]
+    for d, s in zip(*np.nonzero(~out & (mean >= -deviation) & (total > 1e-9))):
+        out[d, s] = reaches(posterior[starts[d] : ends[d]], s, share) > 0.5
+    return total / np.maximum(total.sum(1, keepdims=True), 1e-12), out
 
 
 def fitted(texts: DataFrame, labels: DataFrame, areas: DataFrame, items: DataFrame) -> SubjectModel:
@@ -441,9 +446,9 @@ def leanings(votes: DataFrame) -> DataFrame:
 
 
 def subject_shares(texts: DataFrame, labels: DataFrame, areas: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc_id, subject, share, probability``: the subjects that a document more likely than not has.
+    """``doc_id, subject, share``: the subjects that a document more likely than not has.
 
-    share: the expected share of its sentences about any; probability: that it is at least SHARE.
+    share: the expected share of its sentences about any.
     """
     spark, kind = texts.sparkSession, texts.schema["doc_id"].dataType.simpleString()
     model = fitted(texts, labels, areas, items)
@@ -464,14 +469,12 @@ def subject_shares(texts: DataFrame, labels: DataFrame, areas: DataFrame, items:
             flat = np.concatenate([*batch["patterns"], np.zeros(0, np.int64)]).astype(np.int64) + open_ * np.repeat(batch["lean"].to_numpy(np.int64), lengths)
             seen, which = np.unique(flat, return_inverse=True)
             posterior = latent.posterior(latent.unpacked(seen))[which]
-            found, at = [], 0
-            for i, n in zip(batch["doc_id"], lengths):
-                p = posterior[at : at + n]
-                at += n
-                if p[:, k].min() < 0.5:  # some sentence is about a subject
-                    expected, probability = share_probabilities(p)
-                    found += [(i, subjects[s], float(expected[s]), float(probability[s])) for s in np.nonzero(probability > 0.5)[0]]
-            yield pd.DataFrame(found, columns=["doc_id", "subject", "share", "probability"])
-
-    found = full.select("doc_id", "patterns", "lean").mapInPandas(assign, "doc_id string, subject string, share double, probability double")
-    return found.select(F.col("doc_id").cast(kind).alias("doc_id"), "subject", "share", "probability")
+            if not len(flat):
+                continue
+            expected, has = assigned(posterior, np.cumsum(lengths) - lengths)  # a document here has a sentence
+            ids = batch["doc_id"].to_numpy()
+            found = [(ids[d], subjects[c], float(expected[d, c])) for d, c in zip(*np.nonzero(has))]
+            yield pd.DataFrame(found, columns=["doc_id", "subject", "share"])
+
+    found = full.select("doc_id", "patterns", "lean").mapInPandas(assign, "doc_id string, subject string, share double")
+    return found.select(F.col("doc_id").cast(kind).alias("doc_id"), "subject", "share")

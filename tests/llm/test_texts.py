@@ -193,14 +193,15 @@ def test_share_probabilities_against_all_outcomes():
     for _ in range(20):
         p = rng.dirichlet(np.ones(4), rng.integers(1, 6))
         p[rng.random(len(p)) < 0.3] = [0, 1, 0, 0]
-        expected, got = subjects.share_probabilities(p, 1 / 3)
         want = np.zeros(3)
         for outcome in itertools.product(range(4), repeat=len(p)):
             chance = np.prod([p[i, c] for i, c in enumerate(outcome)])
             about = sum(c < 3 for c in outcome)
             for s in range(3):
                 want[s] += chance * (about > 0 and 3 * outcome.count(s) >= about and s in outcome)
-        assert np.allclose(got, want, atol=1e-9) and abs(expected.sum() - 1) < 1e-9
+        assert np.allclose([subjects.reaches(p, s, 1 / 3) for s in range(3)], want, atol=1e-9)
+        expected, has = subjects.assigned(np.concatenate([p, p]), np.array([0, len(p)]), 1 / 3)
+        assert (has == (want > 0.5)).all() and np.allclose(expected.sum(1), 1)
 
 
 def test_switching_the_latent_model_off_changes_the_subjects(spark, small, monkeypatch):
