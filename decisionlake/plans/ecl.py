@@ -104,8 +104,14 @@ def summary(provisions: DataFrame, stages: DataFrame) -> DataFrame:
 
 
 def calculation_audit(provisions: DataFrame, scores: DataFrame, model: str) -> DataFrame:
-    """What each provision was calculated from, as canonical JSON with its SHA-256."""
-    used = scores.groupBy("reporting_date", "exposure_id").agg(F.sort_array(F.collect_set("parameter_set_id")).alias("sets"), F.sort_array(F.collect_set(F.struct("scenario_id", F.col("probability_weight").cast("double").alias("weight")))).alias("weights"))
-    body = F.to_json(F.struct(F.col("reporting_date").cast("string").alias("date"), F.col("ead_amount_aed").alias("ead"), F.col("reported_ecl_aed").alias("ecl"), F.col("exposure_id").alias("exposure"), F.lit(model).alias("model"), "sets", F.col("assigned_stage").alias("stage"), "weights"), {"ignoreNullFields": "false"})
+    """What each provision was calculated from, as canonical JSON with its SHA-256: money and weights as exact decimals' text."""
+    text = lambda c, kind: F.col(c).cast(kind).cast("string")
+    weights = F.sort_array(F.collect_set(F.concat_ws("=", "scenario_id", text("probability_weight", "decimal(9,8)"))))
+    used = scores.groupBy("reporting_date", "exposure_id").agg(F.sort_array(F.collect_set("parameter_set_id")).alias("sets"), weights.alias("weights"))
+    fields = {
+        "date": text("reporting_date", "date"), "ead": text("ead_amount_aed", "decimal(18,2)"), "ecl": text("reported_ecl_aed", "decimal(18,2)"), "exposure": F.col("exposure_id"),
+        "model": F.lit(model), "sets": F.array_join("sets", ","), "stage": text("assigned_stage", "int"), "weights": F.array_join("weights", ","),
+    }
+    body = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]), {"ignoreNullFields": "false"})
     calc = F.concat_ws("-", F.lit("CALC"), "exposure_id", F.date_format("reporting_date", "yyyyMMdd"))
     return provisions.join(used, ["reporting_date", "exposure_id"]).select(calc.alias("calculation_id"), "exposure_id", "reporting_date", "assigned_stage", "reported_ecl_aed", body.alias("inputs_json"), F.sha2(body, 256).alias("input_sha256"))

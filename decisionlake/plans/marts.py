@@ -106,3 +106,33 @@ def queue_size(queue: DataFrame) -> DataFrame:
 def breached_days(trend: DataFrame) -> DataFrame:
     """Days on which rows were quarantined or a warn rule didn't hold."""
     return trend.where("quarantined_row_count > 0 OR warn_ok_count < warn_count")
+
+
+def reconstruct(trail: DataFrame, decision_id: Column | str) -> DataFrame:
+    """One decision with its snapshot: a point lookup that reaches the scan as a pushed filter."""
+    return trail.where(F.col("decision_id") == decision_id)
+
+
+def freshness_by_day(loads: DataFrame, sources: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """``snapshot_date`` and ``name_freshness_hours``: how old each source's newest row was when the day's last load was made.
+
+    loads: ``snapshot_date, now``, one row per day.  A source's newest row up to a day is a running maximum over its days; the
+    window has one row per source and day.
+    """
+    out = loads
+    for name, (rows, column) in sources.items():
+        days = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("date").alias("snapshot_date")).agg(F.max(column).alias("last"))
+        both = days.unionByName(loads.select("snapshot_date"), allowMissingColumns=True).groupBy("snapshot_date").agg(F.max("last").alias("last"))
+        upto = both.withColumn("newest", F.max("last").over(Window.orderBy("snapshot_date").rowsBetween(Window.unboundedPreceding, 0))).select("snapshot_date", "newest")
+        micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+        out = out.join(upto, "snapshot_date").withColumn(f"{name}_freshness_hours", F.greatest((micros("now") - micros("newest")) / 3.6e9, F.lit(0.0))).drop("newest")
+    return out.drop("now")
+
+
+def sla_breaches(fresh: DataFrame, limits: dict[str, float], most: int | None = None) -> DataFrame:
+    """The days on which a source was too old, latest first; ``most`` of them, if given."""
+    late = F.lit(False)
+    for name, hours in limits.items():
+        late = late | F.coalesce(F.col(f"{name}_freshness_hours") >= hours, F.lit(True))
+    found = fresh.where(late).orderBy(F.desc("snapshot_date"))
+    return found if most is None else found.limit(most)

@@ -121,7 +121,17 @@ def conform_screening(spark, folder):
     return conform.screenings(table(spark, folder, "aml_raw")).drop("name_soundex")
 
 
-@query()
+def _soundex(c: str) -> str:
+    upper = f"translate(trim({c}), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')"
+    # letters to their digits; 7 (H, W) doesn't part equal digits, 0 (vowels and what is no letter) does
+    digits = f"translate(regexp_replace({upper}, '[^A-Z]', 'A', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '01230127022455012623017202')"
+    runs = f"left({digits}, 1) || replace(substr({digits}, 2), '7', '')"
+    for d in "123456":
+        runs = f"regexp_replace({runs}, '{d}+', '{d}', 'g')"
+    return f"CASE WHEN regexp_matches({upper}, '^[A-Z]') THEN left({upper}, 1) || left(replace(substr({runs}, 2), '0', '') || '000', 3) ELSE trim({c}) END"
+
+
+@query(f"SELECT DISTINCT full_name, {_soundex('full_name')} AS name_soundex FROM ({_AML})")
 def name_soundex(spark, folder):
     return conform.screenings(table(spark, folder, "aml_raw")).select("full_name", "name_soundex").distinct()
 
@@ -139,11 +149,9 @@ def conform_decisions(spark, folder):
     return conform.decisions(table(spark, folder, "decisions_raw"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-    ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) = 1""")
+@query("""SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) = 1""")
 def dedupe_lineitem(spark, folder):
-    rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
-    return conform.latest_per_key(rows, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+    return conform.latest_per_key(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
 # ---- identity --------------------------------------------------------------------------------------------------------
@@ -159,7 +167,7 @@ def jw_similarity(spark, folder):
     return pairs.select("a", "b", F.round(text.jaro_winkler_column(F.col("a"), F.col("b")), 6).alias("similarity"))
 
 
-@query(f"""SELECT aml_case_id, master_customer_id, round(round(CASE WHEN a <> '' AND b <> '' THEN (0.4 * {_JW} + 0.2) / 0.6 ELSE 1.0 END + 1e-9, 4) + 1e-9, 3) AS confidence FROM (
+@query(f"""SELECT aml_case_id, master_customer_id, round(CASE WHEN a <> '' AND b <> '' THEN (0.4 * {_JW} + 0.2) / 0.6 ELSE 1.0 END + 1e-12, 4) AS confidence FROM (
     SELECT aml_case_id, master_customer_id, lower(coalesce(s.full_name, '')) AS a, lower(coalesce(p.full_name, '')) AS b, jaro_similarity(lower(coalesce(s.full_name, '')), lower(coalesce(p.full_name, ''))) AS j
     FROM ({_AML}) s JOIN ({_SPINE}) p USING (date_of_birth))""")
 def weighted_confidence(spark, folder):
@@ -167,7 +175,7 @@ def weighted_confidence(spark, folder):
     p = _spine(spark, folder).select("master_customer_id", F.col("full_name").alias("theirs"), "date_of_birth")
     both = s.join(p, "date_of_birth")
     c = text.match_confidence({"full_name": F.col("full_name"), "date_of_birth": F.col("date_of_birth")}, {"full_name": F.col("theirs"), "date_of_birth": F.col("date_of_birth")})
-    return both.select("aml_case_id", "master_customer_id", F.round(c, 3).alias("confidence"))
+    return both.select("aml_case_id", "master_customer_id", c.alias("confidence"))
 
 
 @query("""SELECT match_confidence, count(*) AS records, CASE WHEN match_confidence >= 0.7 THEN 'PROBABILISTIC' ELSE 'UNRESOLVED' END AS match_class,
@@ -192,8 +200,11 @@ _EITHER = f"""SELECT fraud_assessment_id AS k, master_customer_id, scored_at, f.
 _SCORED = f"SELECT *, round((CASE WHEN fp = sp THEN 0.15 ELSE 0 END + CASE WHEN fe = se THEN 0.15 ELSE 0 END) / (CASE WHEN fp <> '' AND sp <> '' THEN 0.15 ELSE 0 END + CASE WHEN fe <> '' AND se <> '' THEN 0.15 ELSE 0 END), 4) AS c FROM ({_EITHER})"
 
 
-@query(f"""{_BOTH} UNION ALL SELECT k, master_customer_id, 'PROBABILISTIC', CAST(c AS DECIMAL(5,4)), scored_at FROM ({_SCORED}) WHERE c >= 0.7
-    QUALIFY row_number() OVER (PARTITION BY k ORDER BY c DESC, scored_at DESC, master_customer_id DESC) = 1""")
+_FRAUD_LINKS = f"""{_BOTH} UNION ALL SELECT k, master_customer_id, 'PROBABILISTIC', CAST(c AS DECIMAL(5,4)), scored_at FROM ({_SCORED}) WHERE c >= 0.7
+    QUALIFY row_number() OVER (PARTITION BY k ORDER BY c DESC, scored_at DESC, master_customer_id DESC) = 1"""
+
+
+@query(_FRAUD_LINKS)
 def fraud_two_key_links(spark, folder):
     return identity.fraud_links(conform.fraud_events(table(spark, folder, "fraud_raw")), _spine(spark, folder))
 
@@ -208,7 +219,15 @@ def and_block_candidates(spark, folder):
     return identity.candidates(conform.fraud_events(table(spark, folder, "fraud_raw")), "fraud_assessment_id", _spine(spark, folder), ["phone", "email"], "and")
 
 
-@query()
+_SOUND = lambda rows: f"SELECT *, {_soundex('full_name')} AS sound FROM ({rows})"
+_AML_PAIRS = f"""SELECT s.aml_case_id, p.master_customer_id, s.screened_at, lower(coalesce(s.full_name, '')) AS a, lower(coalesce(p.full_name, '')) AS b, s.date_of_birth AS da, p.date_of_birth AS db,
+    jaro_similarity(lower(coalesce(s.full_name, '')), lower(coalesce(p.full_name, ''))) AS j FROM ({_SOUND(_AML)}) s JOIN ({_SOUND(_SPINE)}) p ON s.sound = p.sound OR s.date_of_birth = p.date_of_birth"""
+_AML_SCORED = f"""SELECT *, round(coalesce((CASE WHEN a <> '' AND b <> '' THEN 0.4 * {_JW} ELSE 0 END + CASE WHEN da = db THEN 0.2 ELSE 0 END) / nullif(CASE WHEN a <> '' AND b <> '' THEN 0.4 ELSE 0 END + CASE WHEN da IS NOT NULL AND db IS NOT NULL THEN 0.2 ELSE 0 END, 0), 0) + 1e-12, 4) AS c FROM ({_AML_PAIRS})"""
+_AML_LINKS = f"""SELECT aml_case_id AS source_record_key, master_customer_id, 'PROBABILISTIC' AS match_method, CAST(c AS DECIMAL(5,4)) AS match_confidence, screened_at AS source_ts FROM ({_AML_SCORED}) WHERE c >= 0.7
+    QUALIFY row_number() OVER (PARTITION BY aml_case_id ORDER BY c DESC, screened_at DESC NULLS LAST, master_customer_id DESC) = 1"""
+
+
+@query(_AML_LINKS)
 def aml_links(spark, folder):
     return identity.screening_links(conform.screenings(table(spark, folder, "aml_raw")), _spine(spark, folder))
 
@@ -227,27 +246,76 @@ def _run(spark, folder) -> dict:
     return pipeline.daily_graph(raw, F.col("decision_timestamp") + F.expr("INTERVAL 1 HOUR")).run()
 
 
-@query()
+def _golden() -> str:
+    """The cross-reference, as common tables ``sp, bu, fr, am, links_*, golden, xref``."""
+    sources = {"aecb": ("AECB", "bu", "aecb_report_ref"), "fraud": ("FRAUD", "fr", "fraud_assessment_id"), "aml": ("AML", "am", "aml_case_id")}
+    ctes = [f"sp AS MATERIALIZED ({_SPINE})", f"bu AS MATERIALIZED ({_BUREAU})", f"fr AS MATERIALIZED ({_FRAUD})", f"am AS MATERIALIZED ({_AML})"]
+    for n, sql in (("aecb", _BUREAU_LINKS), ("fraud", _FRAUD_LINKS), ("aml", _AML_LINKS)):
+        ctes.append(f"links_{n} AS MATERIALIZED ({sql})")
+        ctes.append(f"best_{n} AS (SELECT master_customer_id, source_record_key AS {n}_source_key, match_method AS {n}_match_method, match_confidence AS {n}_match_confidence FROM links_{n} QUALIFY row_number() OVER (PARTITION BY master_customer_id ORDER BY match_confidence DESC, source_ts DESC NULLS LAST, source_record_key DESC) = 1)")
+    parts = ", ".join(f"{n}_source_key IS NOT NULL AS {n}_matched, {n}_source_key, {n}_match_method, {n}_match_confidence, coalesce({n}_match_confidence >= 0.7 AND {n}_match_confidence < 0.85, false) AS {n}_needs_review" for n in sources)
+    least = "least(CAST(1 AS DECIMAL(5,4)), " + ", ".join(f"{n}_match_confidence" for n in sources) + ")"
+    probable = " OR ".join(f"coalesce({n}_match_method = 'PROBABILISTIC', false)" for n in sources)
+    ctes.append(f"""golden AS (SELECT sp.master_customer_id, sp.internal_customer_uuid, sp.emirates_id, coalesce(sp.phone, fr.phone) AS phone, coalesce(sp.email, fr.email) AS email, coalesce(sp.full_name, am.full_name) AS full_name, coalesce(sp.date_of_birth, am.date_of_birth) AS date_of_birth,
+        {parts}, concat_ws(',', 'internal_customer_uuid', CASE WHEN aecb_source_key IS NOT NULL THEN 'emirates_id' END, CASE WHEN fraud_source_key IS NOT NULL THEN 'phone_email' END, CASE WHEN aml_source_key IS NOT NULL THEN 'full_name_dob' END) AS matched_on,
+        {least} AS match_confidence, CASE WHEN {probable} THEN 'PROBABILISTIC' ELSE 'DETERMINISTIC' END AS match_method, {least} >= 0.7 AND {least} < 0.85 AS needs_manual_review, sp.internal_customer_uuid AS source_record_key, 'POSTGRES' AS source_system
+        FROM sp LEFT JOIN best_aecb USING (master_customer_id) LEFT JOIN best_fraud USING (master_customer_id) LEFT JOIN best_aml USING (master_customer_id) LEFT JOIN fr ON fraud_assessment_id = fraud_source_key LEFT JOIN am ON aml_case_id = aml_source_key)""")
+    left = [
+        f"SELECT 'UNRESOLVED' AS master_customer_id, {', '.join(columns)}, 'UNRESOLVED' AS match_method, CAST(0 AS DECIMAL(5,4)) AS match_confidence, true AS needs_manual_review, {key} AS source_record_key, '{system}' AS source_system FROM {rows} WHERE {key} NOT IN (SELECT source_record_key FROM links_{n})"
+        for (n, (system, rows, key)), columns in zip(sources.items(), (["emirates_id"], ["phone", "email"], ["full_name", "date_of_birth"]))
+    ]
+    ctes.append("xref AS (SELECT * FROM golden UNION ALL BY NAME " + " UNION ALL BY NAME ".join(left) + ")")
+    return "WITH " + ", ".join(ctes)
+
+
+_FUSED = f"""{_golden()}, fused AS MATERIALIZED (SELECT d.decision_id, application_id, coalesce(g.master_customer_id, 'UNRESOLVED') AS master_customer_id, d.internal_customer_uuid, product_code, decision_timestamp, CAST(decision_timestamp AS DATE) AS decision_date, aecb_credit_score, aecb_total_outstanding_aed,
+    g.aecb_source_key AS aecb_report_ref, fraud_score, fraud_decision, aml_status, is_pep, p.monthly_income_aed, p.kyc_completed, requested_amount_aed, approved_amount_aed, decision_outcome,
+    CAST(((aecb_credit_score IS NOT NULL)::INT + (fraud_score IS NOT NULL)::INT + (aml_status IS NOT NULL)::INT + (p.monthly_income_aed IS NOT NULL)::INT) / 4 AS DECIMAL(5,4)) AS input_completeness_score, fraud_source_key, aml_source_key
+    FROM ({_DECISIONS}) d LEFT JOIN golden g USING (internal_customer_uuid) LEFT JOIN bu ON bu.aecb_report_ref = g.aecb_source_key LEFT JOIN fr ON fraud_assessment_id = fraud_source_key LEFT JOIN am ON aml_case_id = aml_source_key LEFT JOIN sp p ON p.internal_customer_uuid = d.internal_customer_uuid)"""
+
+
+@query(f"{_golden()} SELECT * FROM xref")
 def xref_full(spark, folder):
     x = _run(spark, folder)["xref"]
     return x.withColumn("matched_on", F.array_join("matched_on", ","))
 
 
-@query()
+@query(f"{_FUSED} SELECT * EXCLUDE (fraud_source_key, aml_source_key) FROM fused")
 def fuse_decision_input(spark, folder):
     return _run(spark, folder)["fused"]
 
 
-@query()
-def pipeline_mart(spark, folder):
-    return _run(spark, folder)["mart"]
+# the rows' text forms and files, as snapshots keep them word for word
+_RAW = {
+    "aecb": ("aecb_credit_report", "aecb_report_ref", "aecb_report_ref", "updated_timestamp", "emirates_id, aecb_report_ref, aecb_credit_score, aecb_total_outstanding_aed, report_timestamp, source_system, batch_id, created_timestamp, updated_timestamp", "NULL"),
+    "fraud": ("fraud_raw", "event_id", "fraud_source_key", "ingested_timestamp", "event_id, phone, email, fraud_score, fraud_decision, scored_at, source_file_s3_uri, ingested_timestamp, ingest_date", "source_file_s3_uri"),
+    "aml": ("aml_raw", "screening_ref", "aml_source_key", "ingested_timestamp", "screening_ref, full_name, date_of_birth, aml_status, is_pep, screened_at, source_file_s3_uri, ingested_timestamp, ingest_date", "source_file_s3_uri"),
+    "profile": ("customer_profile_raw", "internal_customer_uuid", "internal_customer_uuid", "cdc_lsn", "internal_customer_uuid, emirates_id, full_name, date_of_birth, phone, email, monthly_income_aed, kyc_completed, address, created_at, updated_at, cdc_op, cdc_source_ts_ms, cdc_lsn, ingested_timestamp", "NULL"),
+}
+_TEXTS = lambda columns: "to_json({" + ", ".join(f"'{c.strip()}': CAST({c.strip()} AS VARCHAR)" for c in columns.split(",")) + "})"
+_FUSED_COLUMNS = "decision_id, application_id, master_customer_id, internal_customer_uuid, product_code, decision_timestamp, decision_date, aecb_credit_score, aecb_total_outstanding_aed, aecb_report_ref, fraud_score, fraud_decision, aml_status, is_pep, monthly_income_aed, kyc_completed, requested_amount_aed, approved_amount_aed, decision_outcome, input_completeness_score"
+
+
+def _snapshot_sql() -> str:
+    kept = ", ".join(
+        f"raw_{n} AS (SELECT {key} AS {n}_key, record AS {n}_record, sha256(record) AS {n}_sha256, uri AS {n}_uri FROM (SELECT {key}, {order} AS moment, CAST({_TEXTS(columns)} AS VARCHAR) AS record, {uri} AS uri FROM {rows} WHERE {key} IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY moment DESC NULLS LAST, record DESC, uri DESC NULLS LAST) = 1)"
+        for n, (rows, key, _, order, columns, uri) in _RAW.items()
+    )
+    joins = " ".join(f"LEFT JOIN raw_{n} ON {n}_key = {ours}" for n, (_, _, ours, *_) in _RAW.items())
+    decision = ", ".join(f"'{c.strip()}': CAST({c.strip()} AS VARCHAR)" for c in f"{_FUSED_COLUMNS}, fraud_source_key, aml_source_key".split(","))
+    inputs = ", ".join(f"'{n}': {{'record': {n}_record, 'sha256': {n}_sha256, 'uri': CAST({n}_uri AS VARCHAR)}}" for n in _RAW)
+    path = "'snapshots/decision_date=' || coalesce(CAST(decision_date AS VARCHAR), 'unknown') || '/decision_id=' || decision_id || '/snapshot.json'"
+    return f"""{_FUSED}, {kept}, b AS (SELECT *, to_json({{'decision': {{{decision}}}, 'inputs': {{{inputs}}}}}) AS body FROM fused {joins})
+        SELECT decision_id, decision_date, {path} AS snapshot_uri, CAST(body AS VARCHAR) AS body, sha256(body) AS content_sha256, {', '.join(f'{n}_sha256' for n in _RAW)}, TIMESTAMP '2025-10-01 00:00:00' AS captured_at, 7 AS retention_years, DATE '2032-10-01' AS retain_until FROM b"""
 
 
-@query()
+@query(_snapshot_sql())
 def decision_snapshots(spark, folder):
-    fused = table(spark, folder, "decision_input").select("decision_id", "decision_date", "aecb_report_ref", "aecb_credit_score", "fraud_score", "aml_status", "monthly_income_aed", "decision_outcome").dropDuplicates(["decision_id"])
-    raw = {"aecb": (table(spark, folder, "aecb_credit_report"), "aecb_report_ref", "aecb_report_ref")}
-    return fuse.snapshots(fused, raw, "snapshots", F.lit("2025-10-01 00:00:00").cast("timestamp_ntz"))
+    run = _run(spark, folder)
+    keys = run["xref"].where("internal_customer_uuid IS NOT NULL").select("internal_customer_uuid", "fraud_source_key", "aml_source_key")
+    raw = {n: (table(spark, folder, rows), key, ours, order) for n, (rows, key, ours, order, *_) in _RAW.items()}
+    decided = run["fused"].join(keys, "internal_customer_uuid", "left").select(*run["fused"].columns, "fraud_source_key", "aml_source_key")
+    return fuse.snapshots(decided, raw, "snapshots", F.lit("2025-10-01 00:00:00").cast("timestamp_ntz"))
 
 
 @query("SELECT sha256(to_json({'screening_ref': screening_ref, 'full_name': full_name, 'aml_status': aml_status, 'is_pep': is_pep})) AS record_hash, count(*) AS records FROM aml_raw GROUP BY 1")
@@ -270,10 +338,10 @@ def risk_band(spark, folder):
 
 
 _RULES = {
-    "decision_id_present": "coalesce(trim(decision_id) <> '', false)", "application_id_present": "coalesce(trim(application_id) <> '', false)", "master_customer_id_present": "coalesce(trim(master_customer_id) <> '', false)",
-    "master_customer_resolved": "coalesce(master_customer_id <> 'UNRESOLVED', false)", "fraud_score_range": "(fraud_score IS NULL OR fraud_score BETWEEN 0 AND 1)", "aecb_score_range": "(aecb_credit_score IS NULL OR aecb_credit_score BETWEEN 300 AND 900)",
-    "product_code_valid": "coalesce(product_code IN ('PERSONAL_FINANCE', 'BNPL', 'CARD_ALT'), false)", "decision_not_future": "coalesce(decision_timestamp <= created_timestamp, false)",
-    "decision_not_stale": "coalesce(decision_timestamp >= created_timestamp - INTERVAL 48 HOURS, false)", "unique_decision_id": "coalesce(decision_id IS NOT NULL AND count(*) OVER (PARTITION BY decision_id) = 1, false)",
+    "decision_id_not_null": "coalesce(trim(decision_id) <> '', false)", "application_id_not_null": "coalesce(trim(application_id) <> '', false)", "master_customer_id_not_null": "coalesce(trim(master_customer_id) <> '', false)",
+    "master_customer_id_resolved": "coalesce(master_customer_id <> 'UNRESOLVED', false)", "fraud_score_in_range": "(fraud_score IS NULL OR fraud_score BETWEEN 0 AND 1)", "aecb_credit_score_in_range": "(aecb_credit_score IS NULL OR aecb_credit_score BETWEEN 300 AND 900)",
+    "product_code_in_enum": "coalesce(product_code IN ('PERSONAL_FINANCE', 'BNPL', 'CARD_ALT'), false)", "decision_timestamp_not_future": "coalesce(decision_timestamp <= created_timestamp, false)",
+    "decision_timestamp_not_stale": "coalesce(decision_timestamp >= created_timestamp - INTERVAL 48 HOURS, false)", "unique_decision_id": "coalesce(decision_id IS NOT NULL AND count(*) OVER (PARTITION BY decision_id) = 1, false)",
 }
 _JUDGED = f"SELECT *, {' AND '.join(f'pass__{n}' for n in _RULES)} AS dq_ok FROM (SELECT *, {', '.join(f'{p} AS pass__{n}' for n, p in _RULES.items())} FROM decision_input)"
 _REASONS = "concat_ws(',', " + ", ".join(f"CASE WHEN NOT pass__{n} THEN '{n}' END" for n in _RULES) + ")"
@@ -351,9 +419,34 @@ def freshness_lag(spark, folder):
     return fresh.withColumn("lag_hours", F.round("lag_hours", 4))
 
 
-@query()
+def _check_sql(texts: tuple[str, ...], fails: dict[str, str], valid: dict[str, tuple[str, ...]], rows: str) -> str:
+    """The measures of checks in SQL, read from their words."""
+    out = []
+    for text_ in (*texts, *fails):
+        kind, _, rest = text_.partition("(")
+        inside, _, limit = rest.partition(")")
+        whole = " AND ".join(f"{x} IS NOT NULL" for x in inside.split(", "))
+        if text_ in fails:
+            measure, limit = f"count(*) FILTER ({fails[text_]})", "= 0"
+        elif kind.startswith("row_count"):
+            measure, limit = "count(*)", "> 0"
+        elif kind == "missing_count":
+            measure = f"count(*) FILTER ({inside} IS NULL OR CAST({inside} AS VARCHAR) = '')"
+        elif kind == "duplicate_count":
+            measure = f"count(*) FILTER ({whole}) - count(DISTINCT ({inside})) FILTER ({whole})"
+        elif kind == "invalid_count":
+            measure = f"count(*) FILTER ({inside} IS NOT NULL AND {inside} NOT IN {valid[inside]})"
+        elif kind == "freshness":
+            measure, limit = f"epoch(TIMESTAMP '{_NOW}' - max({inside})) / 3600", limit.replace("h", "")
+        else:
+            measure = f"{kind}({inside})"
+        out.append(f"SELECT '{text_}' AS check_name, CAST({measure} AS DOUBLE) AS measured, CASE WHEN coalesce(CAST({measure} AS DOUBLE) {limit}, true) THEN 'pass' ELSE 'fail' END AS outcome FROM rows")
+    return f"WITH rows AS ({rows}) " + " UNION ALL ".join(out)
+
+
+@query(_check_sql(quality.DECISION_CHECKS, quality.DECISION_FAILS, quality.VALID, "SELECT * FROM decision_input"))
 def decision_checks(spark, folder):
-    return quality.run_checks(table(spark, folder, "decision_input"), quality.decision_checks())
+    return quality.run_checks(table(spark, folder, "decision_input"), quality.decision_checks(F.lit(_NOW).cast("timestamp_ntz")))
 
 
 # ---- marts -----------------------------------------------------------------------------------------------------------
@@ -374,6 +467,15 @@ def portfolio_mart(spark, folder):
     return _mart(spark, folder)
 
 
+_DAY_JUDGED = _JUDGED.replace("created_timestamp", "(decision_timestamp + INTERVAL 1 HOUR)").replace("decision_input", "fused")
+_DAY_CARD = _SCORED_CARD.replace(_JUDGED, "SELECT * FROM judged").replace("CAST(created_timestamp AS DATE) AS snapshot_date", "decision_date AS snapshot_date")
+
+
+@query(f"{_FUSED}, judged AS MATERIALIZED ({_DAY_JUDGED}) SELECT c.*, s.dq_score FROM ({_CUBE.replace('FROM decision_input WHERE dq_pass', 'FROM judged WHERE dq_ok')}) c LEFT JOIN (SELECT snapshot_date, dq_score FROM ({_DAY_CARD})) s USING (snapshot_date)")
+def pipeline_mart(spark, folder):
+    return _run(spark, folder)["mart"]
+
+
 _FA = "count(*) FILTER (fraud_decision = 'APPROVE')"
 
 
@@ -418,13 +520,34 @@ def audit_trail_missing(spark, folder):
     return marts.audit_trail(named, snaps).select(F.col("own").alias("decision_id"), "batch_id", (F.col("snapshot_missing") | F.col("snapshot_s3_uri").isNull()).alias("snapshot_missing"))
 
 
-@query()
+_MART_KEYS = ("snapshot_date", "product_code", "decision_outcome_band", "risk_band")
+_MART_CHECKS = ("row_count > 0", f"duplicate_count({', '.join(_MART_KEYS)}) = 0", "min(decision_count) >= 0", "min(total_approved_amount_aed) >= 0", *(f"missing_count({c}) = 0" for c in _MART_KEYS), "invalid_count(decision_outcome_band) = 0")
+_MART_FAILS = {"approved_count_leq_decision_count": "approved_count > decision_count"} | {f"{c}_within_bounds": f"{c} < 0 OR {c} > 100" for c in ("approval_rate_pct", "aml_hit_rate_pct", "pep_exposure_pct", "dq_score")}
+_BANDS = {"decision_outcome_band": ("APPROVED", "DECLINED", "REFERRED", "UNKNOWN")}
+
+
+@query(_check_sql(_MART_CHECKS, _MART_FAILS, _BANDS, _MART))
 def mart_checks(spark, folder):
-    keys = "snapshot_date, product_code, decision_outcome_band, risk_band"
-    checks = [quality.check("row_count > 0"), quality.check(f"duplicate_count({keys}) = 0"), quality.check("min(decision_count) >= 0"), quality.check("min(total_approved_amount_aed) >= 0")]
-    checks += [quality.check(f"missing_count({c}) = 0") for c in keys.split(", ")] + [quality.check("invalid_count(decision_outcome_band) = 0", ("APPROVED", "DECLINED", "REFERRED", "UNKNOWN"))]
-    checks += [quality.failed_rows("approved_count_leq_decision_count", "approved_count > decision_count")] + [quality.failed_rows(f"{c}_within_bounds", f"{c} < 0 OR {c} > 100") for c in ("approval_rate_pct", "aml_hit_rate_pct", "pep_exposure_pct", "dq_score")]
-    return quality.run_checks(_mart(spark, folder), checks)
+    return quality.run_checks(_mart(spark, folder), quality.checks(_MART_CHECKS, _MART_FAILS, _BANDS))
+
+
+@query("SELECT decision_id, batch_id, product_code, decision_timestamp, snapshot_s3_uri IS NULL AS snapshot_missing FROM decision_input WHERE decision_id = (SELECT min(decision_id) FROM decision_input)")
+def reconstruct_decision(spark, folder):
+    rows = table(spark, folder, "decision_input")
+    asked = rows.agg(F.min("decision_id")).first()[0]
+    return marts.reconstruct(rows, F.lit(asked)).select("decision_id", "batch_id", "product_code", "decision_timestamp", F.col("snapshot_s3_uri").isNull().alias("snapshot_missing"))
+
+
+_LIMITS = {s.lower(): (t, c, h) for s, (t, c, h) in _SOURCES.items()}
+_FRESH = "SELECT l.snapshot_date, " + ", ".join(f"round(greatest((epoch(l.now) - epoch((SELECT max({c}) FROM {t} WHERE CAST({c} AS DATE) <= l.snapshot_date))) / 3600, 0), 6) AS {n}_freshness_hours" for n, (t, c, _) in _LIMITS.items()) + " FROM (SELECT CAST(created_timestamp AS DATE) AS snapshot_date, max(created_timestamp) AS now FROM decision_input GROUP BY 1) l"
+
+
+@query(f"SELECT * FROM ({_FRESH}) WHERE {' OR '.join(f'coalesce({n}_freshness_hours >= {h}, true)' for n, (_, _, h) in _LIMITS.items())} ORDER BY snapshot_date DESC LIMIT 7")
+def sla_breaches(spark, folder):
+    loads = table(spark, folder, "decision_input").where("created_timestamp IS NOT NULL").groupBy(F.col("created_timestamp").cast("date").alias("snapshot_date")).agg(F.max("created_timestamp").alias("now"))
+    fresh = marts.freshness_by_day(loads, {n: (table(spark, folder, t), c) for n, (t, c, _) in _LIMITS.items()})
+    late = marts.sla_breaches(fresh, {n: h for n, (_, _, h) in _LIMITS.items()}, 7)
+    return late.select("snapshot_date", *[F.round(f"{n}_freshness_hours", 6).alias(f"{n}_freshness_hours") for n in _LIMITS])
 
 
 @query("""SELECT reject_reason, count(*) AS records FROM (SELECT CASE WHEN coalesce(trim(screening_ref), '') = '' THEN 'missing screening_ref' WHEN NOT coalesce(aml_status IN ('CLEAR', 'HIT', 'PENDING'), false) THEN 'invalid aml_status'
@@ -468,8 +591,7 @@ def _stages_of(spark, folder) -> DataFrame:
 
 
 def _scores(spark, folder) -> DataFrame:
-    now = _stages_of(spark, folder).where("reporting_date = DATE '2025-06-30'")
-    return ecl.scored(now, *[_sql(spark, folder, s) for s in (_WEIGHTS, _SETS, _PD, _LGD, _CCF)])
+    return ecl.scored(_stages_of(spark, folder), *[_sql(spark, folder, s) for s in (_WEIGHTS, _SETS, _PD, _LGD, _CCF)])
 
 
 @query(f"SELECT reporting_date, exposure_id, pd_ratio, is_default, is_sicr, sicr_trigger, assigned_stage FROM ({_STAGED})")
@@ -485,7 +607,7 @@ def effective_param_join(spark, folder):
 _HORIZON = f"coalesce((SELECT min(horizon_months) FROM ({_PD}) h WHERE h.horizon_months >= b.remaining_maturity_months), (SELECT max(horizon_months) FROM ({_PD}) h))"
 _ECL_SCORED = f"""SELECT *, round(ead * CASE WHEN assigned_stage = 3 THEN 1.0 ELSE pd12 END * lgd * power(1 + effective_interest_rate, -0.5) + 1e-9, 2) AS e12, round(ead * CASE WHEN assigned_stage = 3 THEN 1.0 ELSE pdl END * lgd * power(1 + effective_interest_rate, -(h / 24.0)) + 1e-9, 2) AS el FROM (
     SELECT b.*, w.scenario_id, w.probability_weight AS wt, p.parameter_set_id, a.cumulative_pd AS pd12, z.cumulative_pd AS pdl, l.downturn_lgd_rate AS lgd, round(CAST(drawn_balance_aed AS DOUBLE) + credit_conversion_factor * CAST(undrawn_commitment_aed AS DOUBLE), 2) AS ead
-    FROM (SELECT b.*, {_HORIZON} AS h FROM ({_STAGED}) b WHERE reporting_date = DATE '2025-06-30') b JOIN ({_WEIGHTS}) w USING (reporting_date) JOIN ({_SETS}) p ON p.macro_scenario_id = w.scenario_id AND p.parameter_basis = 'PIT' AND p.is_current
+    FROM (SELECT b.*, {_HORIZON} AS h FROM ({_STAGED}) b) b JOIN ({_WEIGHTS}) w USING (reporting_date) JOIN ({_SETS}) p ON p.macro_scenario_id = w.scenario_id AND p.parameter_basis = 'PIT' AND p.is_current
     JOIN ({_CCF}) c ON c.parameter_set_id = p.parameter_set_id AND c.product_type = b.product_type JOIN ({_LGD}) l ON l.parameter_set_id = p.parameter_set_id AND l.collateral_segment = coalesce(b.collateral_type, 'UNSECURED')
     JOIN ({_PD}) a ON a.parameter_set_id = p.parameter_set_id AND a.rating_grade = b.current_rating_grade AND a.horizon_months = 12 JOIN ({_PD}) z ON z.parameter_set_id = p.parameter_set_id AND z.rating_grade = b.current_rating_grade AND z.horizon_months = b.h)"""
 
@@ -500,28 +622,33 @@ def provision_by_scenario(spark, folder):
     return _scores(spark, folder).select("exposure_id", "scenario_id", "ead_amount_aed", "ecl_12m", "ecl_life")
 
 
+_WSUM = lambda c: f"CAST(round(sum(CAST(wt AS DECIMAL(9,8)) * CAST({c} AS DECIMAL(18,2))), 2) AS DOUBLE)"
 _PROVISION = f"""SELECT reporting_date, exposure_id, assigned_stage, max(ead) AS ead_amount_aed, max(CASE WHEN scenario_id = 'BASE' THEN e END) AS ecl_base_aed, max(CASE WHEN scenario_id = 'UPSIDE' THEN e END) AS ecl_upside_aed, max(CASE WHEN scenario_id = 'DOWNSIDE' THEN e END) AS ecl_downside_aed,
-    CAST(round(sum(CAST(wt AS DECIMAL(9,8)) * CAST(e AS DECIMAL(18,2))), 2) AS DOUBLE) AS reported_ecl_aed FROM (SELECT *, CASE WHEN assigned_stage = 1 THEN e12 ELSE el END AS e FROM ({_ECL_SCORED})) GROUP BY 1, 2, 3"""
+    {_WSUM('e12')} AS ecl_12m_aed, {_WSUM('el')} AS ecl_lifetime_aed, {_WSUM('e')} AS reported_ecl_aed, round(CAST(sum(CAST(wt AS DECIMAL(9,8)) * CAST(e AS DECIMAL(18,2))) AS DOUBLE) / nullif(max(ead), 0), 6) AS coverage_ratio FROM (SELECT *, CASE WHEN assigned_stage = 1 THEN e12 ELSE el END AS e FROM ({_ECL_SCORED})) GROUP BY 1, 2, 3"""
 
 
 @query(_PROVISION)
 def provision_weighted(spark, folder):
-    return ecl.provision(_scores(spark, folder)).drop("ecl_12m_aed", "ecl_lifetime_aed", "coverage_ratio")
+    return ecl.provision(_scores(spark, folder))
 
 
-@query(f"""SELECT exposure_id, prior_reporting_date, reporting_date, prior_stage, assigned_stage AS new_stage, CASE WHEN prior_stage IS NULL THEN 'INITIAL' WHEN assigned_stage > prior_stage THEN 'DETERIORATION' WHEN assigned_stage = 1 THEN 'CURE' ELSE 'IMPROVEMENT' END AS transition_direction
+@query(f"""SELECT 'TR-' || exposure_id || '-' || strftime(reporting_date, '%Y%m%d') AS transition_id, CASE WHEN dflt THEN 'DEFAULT' ELSE sicr_trigger END AS trigger_reason, days_past_due AS dpd_at_transition, round(pd_ratio, 4) AS pd_ratio_at_transition, exposure_id, prior_reporting_date, reporting_date, prior_stage, assigned_stage AS new_stage, CASE WHEN prior_stage IS NULL THEN 'INITIAL' WHEN assigned_stage > prior_stage THEN 'DETERIORATION' WHEN assigned_stage = 1 THEN 'CURE' ELSE 'IMPROVEMENT' END AS transition_direction
     FROM (SELECT *, lag(assigned_stage) OVER w AS prior_stage, lag(reporting_date) OVER w AS prior_reporting_date FROM ({_STAGED}) WINDOW w AS (PARTITION BY exposure_id ORDER BY reporting_date)) WHERE prior_stage IS NULL OR prior_stage <> assigned_stage""")
 def stage_transitions(spark, folder):
-    return ecl.transitions(_stages_of(spark, folder)).select("exposure_id", "prior_reporting_date", "reporting_date", "prior_stage", "new_stage", "transition_direction")
+    return ecl.transitions(_stages_of(spark, folder))
 
 
-@query(f"""SELECT coalesce(CAST(assigned_stage AS VARCHAR), 'TOTAL') AS stage, stage_name, ecl_horizon, count(*) AS exposure_count, CAST(sum(CAST(ead_amount_aed AS DECIMAL(18,2))) AS DOUBLE) AS total_ead_aed, CAST(sum(CAST(reported_ecl_aed AS DECIMAL(18,2))) AS DOUBLE) AS total_provision_aed
+@query(f"""SELECT coalesce(CAST(assigned_stage AS VARCHAR), 'TOTAL') AS stage, stage_name, ecl_horizon, count(*) AS exposure_count, CAST(sum(CAST(ead_amount_aed AS DECIMAL(18,2))) AS DOUBLE) AS total_ead_aed, CAST(sum(CAST(reported_ecl_aed AS DECIMAL(18,2))) AS DOUBLE) AS total_provision_aed, round(CAST(sum(CAST(reported_ecl_aed AS DECIMAL(18,2))) AS DOUBLE) / nullif(CAST(sum(CAST(ead_amount_aed AS DECIMAL(18,2))) AS DOUBLE), 0), 6) AS portfolio_coverage_ratio
     FROM ({_PROVISION}) JOIN ({_STAGES}) ON stage_id = assigned_stage GROUP BY GROUPING SETS ((assigned_stage, stage_name, ecl_horizon), ())""")
 def ecl_summary_grouping_sets(spark, folder):
-    return ecl.summary(ecl.provision(_scores(spark, folder)), _sql(spark, folder, _STAGES)).drop("portfolio_coverage_ratio")
+    return ecl.summary(ecl.provision(_scores(spark, folder)), _sql(spark, folder, _STAGES))
+
+
+_AUDIT = f"""SELECT 'CALC-' || exposure_id || '-' || strftime(reporting_date, '%Y%m%d') AS calculation_id, exposure_id, reporting_date, assigned_stage, reported_ecl_aed, to_json({{'date': CAST(reporting_date AS VARCHAR), 'ead': CAST(CAST(ead_amount_aed AS DECIMAL(18,2)) AS VARCHAR), 'ecl': CAST(CAST(reported_ecl_aed AS DECIMAL(18,2)) AS VARCHAR), 'exposure': exposure_id,
+    'model': 'staging 1.0', 'sets': sets, 'stage': CAST(assigned_stage AS VARCHAR), 'weights': weights}}) AS body FROM ({_PROVISION}) JOIN (SELECT reporting_date, exposure_id, string_agg(DISTINCT parameter_set_id, ',' ORDER BY parameter_set_id) AS sets, string_agg(DISTINCT scenario_id || '=' || CAST(CAST(wt AS DECIMAL(9,8)) AS VARCHAR), ',' ORDER BY scenario_id || '=' || CAST(CAST(wt AS DECIMAL(9,8)) AS VARCHAR)) AS weights FROM ({_ECL_SCORED}) GROUP BY 1, 2) USING (reporting_date, exposure_id)"""
 
 
-@query()
+@query(f"SELECT * EXCLUDE (body), CAST(body AS VARCHAR) AS inputs_json, sha256(body) AS input_sha256 FROM ({_AUDIT})")
 def ecl_calculation_audit(spark, folder):
     scores = _scores(spark, folder)
     return ecl.calculation_audit(ecl.provision(scores), scores, "staging 1.0")

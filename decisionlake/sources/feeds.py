@@ -142,6 +142,7 @@ def signed(body: bytes, signature: str | None, secret: bytes) -> bool:
 def reject_reason() -> Column:
     """Why a callback can't be taken; null if it can."""
     blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
+    # The reasons as rejected records carry them.
     return (
         F.when(blank("screening_ref"), "missing screening_ref").when(~F.coalesce(F.col("aml_status").isin(*AML_STATUSES), F.lit(False)), "invalid aml_status")
         .when(blank("full_name") | blank("date_of_birth"), "missing full_name or date_of_birth")

@@ -44,14 +44,35 @@ def once_within(stream: DataFrame, identifier: str, time: str, late: str = "1 da
     return stream.withWatermark(time, late).dropDuplicatesWithinWatermark([identifier])
 
 
-def follow_files(spark: SparkSession, path: str, schema: T.StructType, sink: str, checkpoint: str, keep: Column | None = None, day: str = "ingest_date") -> StreamingQuery:
-    """An incremental file scan: new parquet files to a sink by day, bad rows to ``sink/_rejected``."""
+def follow_files(spark: SparkSession, path: str, schema: T.StructType, sink: str, checkpoint: str, keep: Column | None = None, day: str = "ingest_date", flush: str | None = None) -> StreamingQuery:
+    """An incremental file scan: new parquet files to a sink by batch and day, bad rows to ``sink/_rejected``.
+
+    Every batch has a folder of its own that a retry overwrites, so that nothing comes twice.  flush: how often to look for
+    files (such as ``15 minutes``); without it, what is there is taken and the query ends.
+    """
     stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
-    def land(df: DataFrame, _: int) -> None:
+    def land(df: DataFrame, batch: int) -> None:
         good = df if keep is None else df.where(F.coalesce(keep, F.lit(False)))
-        good.write.mode("append").partitionBy(day).parquet(sink)
+        good.write.mode("overwrite").partitionBy(day).parquet(f"{sink}/batch={batch}")
         if keep is not None:
-            df.where(~F.coalesce(keep, F.lit(False))).write.mode("append").parquet(f"{sink}/_rejected")
+            df.where(~F.coalesce(keep, F.lit(False))).write.mode("overwrite").parquet(f"{sink}/_rejected/batch={batch}")
+
+    writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if flush is None else writer.trigger(processingTime=flush)).start()
+
+
+def broker_changes(spark: SparkSession, servers: str, topic: str, schema: T.StructType, starting: str = "earliest", **options: str) -> DataFrame:
+    """A change stream from a message broker whose values are JSON envelopes ``before, after, op, ts_ms``; needs Spark's Kafka source.
+
+    Messages that aren't an envelope, such as the empty ones after deletes, are left out.
+    """
+    raw = spark.readStream.format("kafka").options(**{"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting} | options).load()
+    return envelopes(raw.select(F.col("value").cast("string").alias("value")), schema)
+
 
-    return stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def envelopes(values: DataFrame, schema: T.StructType) -> DataFrame:
+    """JSON texts ``value`` as envelopes of records of the schema, with or without the broker's ``payload`` around them."""
+    envelope_ = T.StructType([T.StructField("before", schema), T.StructField("after", schema), T.StructField("op", T.StringType()), T.StructField("ts_ms", T.LongType())])
+    body = F.coalesce(F.get_json_object("value", "$.payload"), F.col("value"))
+    return values.select(F.from_json(body, envelope_).alias("e")).where("e.op IS NOT NULL").select("e.*")
