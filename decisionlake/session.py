@@ -33,20 +33,28 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows with their lineage cut by a checkpoint in the shared folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir`` that all machines share, set as the checkpoint folder.
 
     Where neither the session nor its context names a folder, a local master (in tests) gets a temporary one; on a cluster
     that is an error, since a machine's own folder is lost with it.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir", "") or df.sparkSession.conf.get("spark.checkpoint.dir", "")
+        named = context.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
         if not named:
             if not context.master.startswith("local[") and context.master != "local":
                 raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
             named = tempfile.mkdtemp(prefix="decisionlake-")
         context.setCheckpointDir(named)
+    folder = context.getCheckpointDir()
+    assert folder is not None
+    return folder
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The same rows with their lineage cut by a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -12,9 +12,9 @@ def con(small):
 
 
 def _core():
-    from decisionlake.queries import general, reference
+    from decisionlake.queries import general, reference, stored
 
-    return [(n, m.ORACLES.get(n)) for m in (reference, general) for n in m.QUERIES]
+    return [(n, m.ORACLES.get(n)) for m in (reference, stored, general) for n in m.QUERIES]
 
 
 @pytest.mark.parametrize(("name", "sql"), _core())
