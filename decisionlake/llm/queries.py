@@ -85,9 +85,9 @@ def p10_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p4_found, p4_person, p5_found, p5_confidence, p8_ids, p9_found, p9_coverage, p9_cleaned, p10_found, p10_shares)}
 
-ORACLES = {
-    "p4_found": f"""
-        WITH x AS (SELECT DISTINCT * FROM customer_identity_xref WHERE trim(master_customer_id) NOT IN ('', 'UNRESOLVED')),
+# what both oracles of problem 4 read: the records of real groups with their fields made good
+_RECORDS = f"""
+        x AS (SELECT DISTINCT * FROM customer_identity_xref WHERE trim(master_customer_id) NOT IN ('', 'UNRESOLVED')),
         g AS (SELECT master_customer_id FROM x GROUP BY 1 HAVING count(*) > 1),
         c AS (SELECT *, CASE upper(trim(source_system)) WHEN 'POSTGRES' THEN 4 WHEN 'AECB' THEN 3 WHEN 'FRAUD' THEN 2 WHEN 'AML' THEN 1 ELSE 0 END AS r,
                 regexp_replace(trim(emirates_id), '[\\s-]', '', 'g') AS e, regexp_extract(regexp_replace(trim(phone), '[\\s().-]', '', 'g'), '^(?:\\+971|00971|971|0)0?(5\\d{{8}})$', 1) AS p,
@@ -96,7 +96,22 @@ ORACLES = {
         v AS (SELECT master_customer_id, r, updated_timestamp AS u, 'emirates_id' AS field_name, e AS field_value FROM c WHERE regexp_full_match(e, '784\\d{{12}}') AND e NOT LIKE '784000000000000'
               UNION ALL SELECT master_customer_id, r, updated_timestamp, 'phone', '+971' || p FROM c WHERE p <> ''
               UNION ALL SELECT master_customer_id, r, updated_timestamp, 'email', m FROM c WHERE regexp_full_match(m, '[^@]*[^@\\s][^@]*@[^@]*\\.[^@]*')
-              UNION ALL SELECT master_customer_id, r, updated_timestamp, 'full_name', n FROM c WHERE regexp_matches(n, '\\pL') AND lower(n) NOT IN ({survivors.placeholders_sql()}))
+              UNION ALL SELECT master_customer_id, r, updated_timestamp, 'full_name', n FROM c WHERE regexp_matches(n, '\\pL') AND lower(n) NOT IN ({survivors.placeholders_sql()}))"""
+
+ORACLES = {
+    "p4_found": f"""WITH {_RECORDS}
         SELECT master_customer_id, field_name, field_value FROM v
         QUALIFY row_number() OVER (PARTITION BY master_customer_id, field_name ORDER BY r DESC, u DESC, field_value DESC) = 1""",
+    # documents and persons by the birth year that they tell, the best of each; of the pairs that agree, or of one alone, the most trusted
+    "p4_person": f"""WITH {_RECORDS},
+        t AS (SELECT *, coalesce(epoch_us(updated_timestamp), 0) AS us FROM c),
+        d AS (SELECT master_customer_id, r, us, e, substr(e, 4, 4) AS y FROM t WHERE regexp_full_match(e, '784\\d{{12}}') AND e NOT LIKE '784000000000000' QUALIFY row_number() OVER (PARTITION BY master_customer_id, substr(e, 4, 4) ORDER BY r DESC, us DESC, e DESC) = 1),
+        p AS (SELECT master_customer_id, r, us, n, CAST(date_of_birth AS VARCHAR) AS born, strftime(date_of_birth, '%Y') AS y FROM t WHERE regexp_matches(n, '\\pL') AND lower(n) NOT IN ({survivors.placeholders_sql()})
+              QUALIFY row_number() OVER (PARTITION BY master_customer_id, strftime(date_of_birth, '%Y') ORDER BY r DESC, us DESC, n DESC, date_of_birth DESC NULLS LAST) = 1),
+        o AS (SELECT d.master_customer_id, d.r + p.r AS r, d.us + p.us AS us, d.r AS dr, d.us AS du, p.r AS pr, p.us AS pu, e, n, born FROM d JOIN p ON p.master_customer_id = d.master_customer_id AND (p.y IS NULL OR p.y = d.y)
+              UNION ALL SELECT master_customer_id, r, us, r, us, 0, 0, e, NULL, NULL FROM d UNION ALL SELECT master_customer_id, r, us, 0, 0, r, us, NULL, n, born FROM p),
+        b AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY master_customer_id ORDER BY r DESC, us DESC, dr DESC, du DESC, e DESC NULLS LAST, pr DESC, pu DESC, n DESC NULLS LAST) = 1),
+        f AS (SELECT master_customer_id, 'emirates_id' AS field_name, e AS field_value FROM b UNION ALL SELECT master_customer_id, 'full_name', n FROM b UNION ALL SELECT master_customer_id, 'date_of_birth', born FROM b
+              UNION ALL (SELECT master_customer_id, field_name, field_value FROM v WHERE field_name IN ('phone', 'email') QUALIFY row_number() OVER (PARTITION BY master_customer_id, field_name ORDER BY r DESC, u DESC, field_value DESC) = 1))
+        SELECT * FROM f WHERE field_value IS NOT NULL""",
 }
