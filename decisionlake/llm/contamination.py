@@ -59,6 +59,8 @@ def normalised(text: str | None) -> list[str]:
         text = html.unescape(text)
     if "<" in text:
         text = _TAG.sub(" ", text)
+    if text.isascii():
+        return _WORD.findall(text.lower())
     text = _HIDDEN.sub("", unicodedata.normalize("NFKD", text))
     if not text.isascii():
         text = "".join(c for c in text if not unicodedata.combining(c))
@@ -155,11 +157,15 @@ class ItemAutomaton:
         return out
 
     def _covered(self, words: list[str], share: float) -> list[tuple[int, float]]:
+        return [(n, len(c) / len(self.items[n][1])) for n, c in sorted(self.places(words).items()) if len(c) >= share * len(self.items[n][1])]
+
+    def places(self, words: list[str]) -> dict[int, set[int]]:
+        """By item the places of its words that stand in stretches of the text."""
         covered: dict[int, set[int]] = {}
         for state in self.stretches(words):
             for n, end in self.ends[state]:
                 covered.setdefault(n, set()).update(range(end - self.stretch + 1, end + 1))
-        return [(n, len(c) / len(self.items[n][1])) for n, c in sorted(covered.items()) if len(c) >= share * len(self.items[n][1])]
+        return covered
 
     def leaks(self, words: list[str], share: float = SHARE) -> list[tuple[int, float]]:
         """``(item, covered share)`` of the items of which at least ``share`` is covered."""

@@ -126,7 +126,7 @@ class SubjectModel:
         self.prior = np.zeros(len(self.subjects) + 1)
         self.taught: frozenset[str] = frozenset()
         self.tested: float | None = None
-        self.memo: dict[str, tuple[int, int]] = {}
+        self.memo: dict[str, int] = {}
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"memo": {}}
@@ -142,7 +142,7 @@ class SubjectModel:
             if words := normalised(s):
                 found.append((s, words, section))
         flat = [w for _, words, _ in found for w in words]
-        if not self.items.stretches(flat):
+        if not any(len(p) >= QUOTED for p in self.items.places(flat).values()):
             return found
         quoted = self._quoted(flat)
         if not quoted:
@@ -191,11 +191,12 @@ class SubjectModel:
         return inside
 
     # ---- coding ---------------------------------------------------------------------------------------------------
-    def _code(self, word: str) -> tuple[int, int]:
-        """The word's number, 0 for one of digits alone, and 1 + the subject whose title has it."""
+    def _code(self, word: str) -> int:
+        """The word's number, 0 for one of digits alone, times 2^16, and 1 + the subject whose title has it."""
         if len(self.memo) >= MEMO:
             self.memo.clear()
-        code = self.memo[word] = (0 if word.isdigit() else zlib.crc32(word.encode("utf-8", "surrogatepass")) | 1, self.titles.get(word, -1) + 1)
+        number = 0 if word.isdigit() else zlib.crc32(word.encode("utf-8", "surrogatepass")) | 1
+        code = self.memo[word] = number << 16 | self.titles.get(word, -1) + 1
         return code
 
     def coded(self, texts: list[str | None]) -> dict[str, np.ndarray]:
@@ -215,11 +216,12 @@ class SubjectModel:
                 words += [memo.get(w) or code(w) for w in own]
                 addresses.append(self._address(s) if "@" in s or "://" in s or "www." in s else 0)
         m = len(docs)
-        pairs = np.array(words, np.int64).reshape(-1, 2)
+        codes = np.array(words, np.int64)
+        numbers = codes >> 16
         of = np.repeat(np.arange(m), lengths)
-        hits = np.bincount(of * (k + 1) + pairs[:, 1], minlength=m * (k + 1)).reshape(m, k + 1)[:, 1:]
-        kept = pairs[:, 0] > 0
-        number, own = pairs[kept, 0].astype(np.uint64), of[kept]
+        hits = np.bincount(of * (k + 1) + (codes & 0xFFFF), minlength=m * (k + 1)).reshape(m, k + 1)[:, 1:]
+        kept = numbers > 0
+        number, own = numbers[kept].astype(np.uint64), of[kept]
         next_to = own[1:] == own[:-1]
         both = number[:-1] * np.uint64(0x9E3779B1) + number[1:] * np.uint64(0x85EBCA77)
         spread = lambda x: ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64) % BUCKETS
