@@ -5,9 +5,8 @@ The version of an entity at an event is the number of its changes up to the even
 met, since a later change has a higher number.
 
 No task holds a whole entity: the rows of an entity are split by spans of time, the changes of the earlier spans are a
-prefix sum over one row per span, and only the rows of one span are sorted together.  A span in which an entity has more than
-``HEAVY`` rows and more than one in ``PARTS`` of all is split further, by time too; there are at most ``PARTS`` such spans, so
-that their list can be broadcast.  In the last join the rows of one version are spread by the adaptive skew join.
+prefix sum over one row per span, and only the rows of one span are sorted together.  Entities with more than ``HEAVY`` rows, the
+``PARTS`` largest at most, have spans ``PIECES`` times as short.  In the last join the rows of one version are spread by the adaptive skew join.
 
 Defined cases: rows with a null entity or time take no part; several changes at one time are ordered by rank; an event at
 the very time of a change sees it; an event before the first change has version 0 and gives no row.
@@ -21,22 +20,25 @@ from pyspark.sql.window import Window
 
 #: Length of a span of time in microseconds: 14 days.
 SPAN = 14 * 86_400_000_000
-#: Rows from which on an entity's span is heavy, the share of all rows (one in so many) from which on, and its pieces.
+#: Rows from which on an entity is heavy; how many entities may be, the largest first (each of the others has less than one in
+#: so many of all rows); how many times as short their spans are.
 HEAVY = 100_000
 PARTS = 10_000
 PIECES = 4_096
 
 
-def _pieces(narrow: DataFrame, span: int, heavy: int) -> DataFrame:
-    """The rows with ``piece``: where in its span a row stands if that span of the entity is heavy, else 0."""
-    counts = narrow.groupBy("entity", "span").agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))  # one row
-    listed = counts.crossJoin(F.broadcast(total)).where((F.col("n") > heavy) & (F.col("n") * PARTS > F.col("total"))).select("entity", "span", F.lit(True).alias("heavy"))
-    within = F.floor(F.pmod(F.col("at"), F.lit(span)) / max(1, span // PIECES))
-    return narrow.join(F.broadcast(listed), ["entity", "span"], "left").withColumn("piece", F.when(F.col("heavy"), within).otherwise(F.lit(0).cast("long"))).drop("heavy")
+def _spanned(narrow: DataFrame, span: int, heavy: int, sizes: DataFrame | None = None) -> DataFrame:
+    """The rows with ``span``: the number of the span of time in which they stand, of short spans for heavy entities.
+
+    An entity beyond the PARTS largest has at most one in PARTS of all rows, so that the list to broadcast is short.
+    """
+    counts = narrow.groupBy("entity").agg(F.count("*").alias("n")) if sizes is None else sizes.groupBy("entity").agg(F.sum("n").alias("n"))
+    listed = counts.where(F.col("n") > heavy).orderBy(F.desc("n")).limit(PARTS).select("entity", F.lit(True).alias("heavy"))
+    length = F.when(F.col("heavy"), F.lit(max(1, span // PIECES))).otherwise(F.lit(span))
+    return narrow.join(F.broadcast(listed), "entity", "left").withColumn("span", F.floor(F.col("at") / length)).drop("heavy")
 
 
-def numbered(changes: DataFrame, events: DataFrame, span: int = SPAN, heavy: int = HEAVY) -> tuple[DataFrame, DataFrame]:
+def numbered(changes: DataFrame, events: DataFrame, span: int = SPAN, heavy: int = HEAVY, sizes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The changes and the events with their version.
 
     changes: ``entity, at, rank`` (longs but for entity), one row each; events: ``entity, at, event``.  Returned are the
@@ -48,21 +50,19 @@ def numbered(changes: DataFrame, events: DataFrame, span: int = SPAN, heavy: int
         changes.select("entity", "at", F.col("rank"), F.lit(None).cast(kind).alias("event"))
         .unionByName(events.select("entity", "at", F.lit(None).cast("long").alias("rank"), "event"))
         .where("entity IS NOT NULL AND at IS NOT NULL")
-        .withColumn("span", F.floor(F.col("at") / span))
-        .where("span IS NOT NULL")
     )
-    rows = _pieces(narrow, span, heavy).repartition("entity", "span", "piece")
+    rows = _spanned(narrow, span, heavy, sizes).where("span IS NOT NULL").repartition("entity", "span")
     change = F.col("rank").isNotNull()
-    before = Window.partitionBy("entity").orderBy("span", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("entity").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
     # a span without change continues the one before it.  All three uses below read every column of the rows, so that they
     # are the same plan up to their one exchange, which then runs once
-    spans = rows.groupBy("entity", "span", "piece").agg(F.count("rank").alias("n"), F.max("rank").alias("top"), F.count("event").alias("events"), F.max("at").alias("last")).where("n > 0 OR (events > 0 AND last IS NOT NULL)")
-    offsets = spans.select("entity", "span", "piece", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"), F.max("top").over(before).alias("base_top"))
-    upto = Window.partitionBy("entity", "span", "piece").orderBy("at", F.col("rank").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    spans = rows.groupBy("entity", "span").agg(F.count("rank").alias("n"), F.max("rank").alias("top"), F.count("event").alias("events"), F.max("at").alias("last")).where("n > 0 OR (events > 0 AND last IS NOT NULL)")
+    offsets = spans.select("entity", "span", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"), F.max("top").over(before).alias("base_top"))
+    upto = Window.partitionBy("entity", "span").orderBy("at", F.col("rank").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
     counted = (
         rows.withColumn("here", F.count("rank").over(upto))
         .withColumn("here_top", F.max("rank").over(upto))
-        .join(offsets, ["entity", "span", "piece"])
+        .join(offsets, ["entity", "span"])
         .withColumn("version", F.col("base") + F.col("here"))
         .withColumn("effective", F.greatest("base_top", "here_top"))
     )
@@ -72,8 +72,11 @@ def numbered(changes: DataFrame, events: DataFrame, span: int = SPAN, heavy: int
     )
 
 
-def as_of(changes: DataFrame, events: DataFrame, wide: DataFrame, span: int = SPAN, heavy: int = HEAVY) -> DataFrame:
-    """``event`` with the columns of ``wide`` in effect at its time; wide has one row per ``entity`` and ``rank``."""
-    versions, at = numbered(changes, events, span, heavy)
+def as_of(changes: DataFrame, events: DataFrame, wide: DataFrame, span: int = SPAN, heavy: int = HEAVY, sizes: DataFrame | None = None) -> DataFrame:
+    """``event`` with the columns of ``wide`` in effect at its time; wide has one row per ``entity`` and ``rank``.
+
+    sizes: ``entity, n``, about how many rows entities have, where that is known more cheaply than by counting the rows here.
+    """
+    versions, at = numbered(changes, events, span, heavy, sizes)
     valued = versions.join(wide.withColumnRenamed("rank", "effective"), ["entity", "effective"])
     return at.join(valued, ["entity", "version"]).drop("version")

@@ -154,8 +154,11 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
         gulf_micros_of_epoch(F.min("cdc_source_ts_ms")).alias("at"), F.max(_deleted()).alias("gone")
     )
     events = decisions.select(F.col("uuid").alias("entity"), "at", F.col("decision_id").alias("event"))
+    # raw rows by customer tell which are heavy, without reading times
+    count = lambda rows, key: rows.groupBy(key.alias("entity")).agg(F.count("*").alias("n"))
+    asked = count(table(spark, folder, "decisions_raw"), packed(F.col(KEY)))
     income = (
-        asof.as_of(changes.select("entity", "at", "rank"), events, changes.select("entity", "rank", "gone"))
+        asof.as_of(changes.select("entity", "at", "rank"), events, changes.select("entity", "rank", "gone"), sizes=asked.unionByName(count(feed, packed(F.col(KEY)))))
         .where("NOT gone")
         .select(unpacked(F.col("event")).alias("decision_id"), F.lit("monthly_income_aed").alias("attribute"), F.col("effective").cast("string").alias("source_key"))
     )
@@ -170,7 +173,8 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy("entity", "rank")
         .agg(F.max("aecb_report_ref").alias("ref"))
     )
-    report = asof.as_of(reported.select("entity", F.col("rank").alias("at"), "rank"), about, reported).select(
+    sizes = asked.join(holders.withColumnRenamed("entity", "id"), F.col("entity") == F.col("uuid")).select(F.col("id").alias("entity"), "n").unionByName(count(reports, digits("emirates_id")))
+    report = asof.as_of(reported.select("entity", F.col("rank").alias("at"), "rank"), about, reported, sizes=sizes).select(
         unpacked(F.col("event")).alias("decision_id"), F.lit("aecb_credit_report").alias("attribute"), F.col("ref").alias("source_key")
     )
     return income.unionByName(report)
