@@ -60,9 +60,9 @@ def one_letter_less(token: str) -> Column:
 
 def near(a: Column, b: Column) -> Column:
     """Within one edit, a swap of neighbours included."""
-    d = F.levenshtein(a, b)
+    d = F.levenshtein(a, b, 2)  # -1 beyond two
     letters = lambda c: F.array_sort(F.split(c, ""))
-    return (d <= 1) | ((d == 2) & (F.length(a) == F.length(b)) & (letters(a) == letters(b)))
+    return d.between(0, 1) | ((d == 2) & (F.length(a) == F.length(b)) & (letters(a) == letters(b)))
 
 
 def spellings(*columns: DataFrame) -> DataFrame:
@@ -109,20 +109,22 @@ def _keys(ordered: DataFrame) -> DataFrame:
 
 
 def _slips(parts: DataFrame) -> DataFrame:
-    """``part, other, breadth``: parts of names one of which may be a slip of the other, and how many keys have ``other``.
+    """``part, other, rare, top``: parts of names one of which may be a slip of the other; whether few keys have ``other``, and
+    the most spellings that one of these has.
 
-    parts: ``part, written, breadth``, every way in which a part is written, and in how many keys it stands.  Two parts meet by
+    parts: ``part, written, breadth, top``, every way in which a part is written, in how many keys it stands, and the most
+    spellings of one of these.  Two parts meet by
     an equi-join on what is left when a letter goes, in sound or as written; one of them must be rare, or far rarer than the
     other.  This is done once for each pair of parts, however many names have them.
     """
-    read = [parts.select("part", F.col("part").alias("text"), "breadth").distinct(), parts.where("written <> part").select("part", F.col("written").alias("text"), "breadth")]
-    forms = read[0].unionByName(read[1]).select("part", "text", "breadth", F.explode(one_letter_less("text")).alias("form"))
+    read = [parts.select("part", F.col("part").alias("text"), "breadth", "top").distinct(), parts.where("written <> part").select("part", F.col("written").alias("text"), "breadth", "top")]
+    forms = read[0].unionByName(read[1]).select("part", "text", "breadth", "top", F.explode(one_letter_less("text")).alias("form"))
     # hashes are what travels; whether two texts are near is seen when they have met
-    forms = forms.select(F.xxhash64("form").alias("form"), "part", "text", "breadth")
-    other = forms.select("form", F.col("part").alias("other"), F.col("text").alias("other_text"), F.col("breadth").alias("other_breadth"))
+    forms = forms.select(F.xxhash64("form").alias("form"), "part", "text", "breadth", "top")
+    other = forms.select("form", F.col("part").alias("other"), F.col("text").alias("other_text"), F.col("breadth").alias("other_breadth"), F.col("top").alias("other_top"))
     few, many = F.least("breadth", "other_breadth"), F.greatest("breadth", "other_breadth")
     met = forms.join(other, "form").where((F.col("part") != F.col("other")) & ((few <= RARE) | (few * RARER <= many)))
-    return met.where(near(F.col("text"), F.col("other_text"))).select("part", "other").distinct()
+    return met.where(near(F.col("text"), F.col("other_text"))).select("part", "other", (F.col("other_breadth") <= RARE).alias("rare"), F.col("other_top").alias("top")).distinct()
 
 
 def _parents(ordered: DataFrame, keys: DataFrame) -> DataFrame:
@@ -132,24 +134,30 @@ def _parents(ordered: DataFrame, keys: DataFrame) -> DataFrame:
     rewriting to a key is that key's share of the spellings of all better keys that the rewriting admits and that aren't
     variants of that key themselves.
     """
-    g = keys.groupBy("given").agg(F.count("*").alias("breadth_g"))
-    s = keys.groupBy("surname").agg(F.count("*").alias("breadth_s"))
+    g = keys.groupBy("given").agg(F.count("*").alias("breadth_g"), F.max("n").alias("top_g"))
+    s = keys.groupBy("surname").agg(F.count("*").alias("breadth_s"), F.max("n").alias("top_s"))
     written = ordered.where(F.length("given") > 1).select("given", "surname", F.split("written", r"\|").alias("w")).distinct()
     slips = {}
     for part, at, breadth in (("given", 0, g), ("surname", 1, s)):
         ways = written.select(F.col(part), F.get("w", F.lit(at)).alias("written")).distinct().join(breadth, part)
-        slips[part] = cut(_slips(ways.toDF("part", "written", "breadth")))
+        slips[part] = cut(_slips(ways.toDF("part", "written", "breadth", "top")))
     common = F.least("breadth_g", "breadth_s")
-    ranked = keys.join(g, "given").join(s, "surname").select("key", "given", "surname", "middle", "n", F.struct((common > RARE).alias("known"), F.col("n").alias("n"), common.alias("common"), F.col("key").alias("key")).alias("rank"))
+    ranked = keys.join(g, "given").join(s, "surname").select(F.xxhash64("key").alias("id"), "key", "given", "surname", "middle", "n", F.struct((common > RARE).alias("known"), F.col("n").alias("n"), common.alias("common"), F.col("key").alias("key")).alias("rank"))
     ranked = cut(ranked)
-    there = ranked.select(F.col("key").alias("to"), F.col("middle").alias("theirs"), F.col("rank").alias("to_rank"), F.col("n").alias("to_n"))
+    # a key with a rare part is better only than one that isn't known and has no more spellings; of the rest, most rewritten
+    # keys are nobody's: two hashes travel until that is told
+    may = ~F.col("rare") | (~F.col("rank.known") & (F.col("top") >= F.col("rank.n")))
     tried = None
-    for part, to in (("given", F.concat_ws("|", "other", "surname")), ("surname", F.concat_ws("|", "given", "other"))):
-        one = ranked.join(slips[part], F.col(part) == F.col("part")).select("key", "middle", "rank", to.alias("to"))
+    for part, to in (("given", ("other", "surname")), ("surname", ("given", "other"))):
+        one = ranked.select("id", "given", "surname", "rank").join(slips[part], F.col(part) == F.col("part")).where(may).select("id", F.xxhash64(F.concat_ws("|", *to)).alias("to_id"))
         tried = one if tried is None else tried.unionByName(one)
-    ours, theirs = F.col("middle"), F.col("theirs")
-    agree = near(ours, theirs) | ours.startswith(theirs) | theirs.startswith(ours)
-    edits = tried.join(there, "to").where((F.col("to_rank") > F.col("rank")) & F.coalesce(agree, F.lit(True))).select("key", "to_rank", "to_n")
+    met = tried.join(ranked.select(F.col("id").alias("to_id")), "to_id", "left_semi")
+    ours = ranked.select("id", "key", "given", "surname", "middle", "rank")
+    there = ranked.select(F.col("id").alias("to_id"), F.col("given").alias("to_given"), F.col("surname").alias("to_surname"), F.col("middle").alias("theirs"), F.col("rank").alias("to_rank"), F.col("n").alias("to_n"))
+    mine, theirs = F.col("middle"), F.col("theirs")
+    agree = near(mine, theirs) | mine.startswith(theirs) | theirs.startswith(mine)
+    one_part = (F.col("given") == F.col("to_given")) | (F.col("surname") == F.col("to_surname"))  # else two hashes are alike by chance
+    edits = met.join(ours, "id").join(there, "to_id").where((F.col("to_rank") > F.col("rank")) & one_part & F.coalesce(agree, F.lit(True))).select("key", "to_rank", "to_n")
     words = ordered.where((F.length("given") > 1) & ~F.col("given").startswith("#")).select(F.concat_ws("|", "given", "surname").alias("key"), F.explode("words").alias("word")).distinct().join(ranked.select("key", "rank", "n"), "key")
     best = words.groupBy("word").agg(F.max(F.struct("rank", "n")).alias("to"))
     same = words.join(best, "word").where("to.rank > rank").select("key", F.col("to.rank").alias("to_rank"), F.col("to.n").alias("to_n"))
