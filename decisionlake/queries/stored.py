@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from decisionlake.operators import conform
 from decisionlake.session import cut, shared_folder, table
 from decisionlake.sources import feeds
-from decisionlake.sources.tables import Table, write_partitioned
+from decisionlake.sources.tables import Table, read_partitions, write_partitioned
 from decisionlake.streaming import cdc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,7 +97,7 @@ def partitions_read(spark, folder):
     """A partitioned folder written by day and read by its range of days."""
     at = _place(spark)
     write_partitioned(table(spark, folder, "aml_raw"), at)
-    days = spark.read.parquet(at).where(F.col("ingest_date").cast("string").between("2025-01-01", "2025-03-31"))
+    days = read_partitions(spark, at, "ingest_date", "2025-01-01", "2025-03-31")
     return days.groupBy(F.col("ingest_date").cast("string").alias("ingest_date")).agg(F.count("*").alias("records"), F.count_distinct("screening_ref").alias("screenings"))
 
 

@@ -192,7 +192,7 @@ class Table:
 
 
 def read_partitions(spark: SparkSession, path: str, by: str, first: str, last: str) -> DataFrame:
-    """The partitions of a folder ``path/by=value`` from first to last, without listing the others; missing ones are empty."""
+    """The partitions of a folder ``path/by=value`` from first to last; the others' files are not read."""
     return spark.read.parquet(path).where(F.col(by).cast("string").between(first, last))
 
 
