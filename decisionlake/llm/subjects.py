@@ -23,7 +23,7 @@ Courtesies and references vote for nothing, and quoted evaluation items are left
 stretch of an item, and sentences at least half of which lie in a span where the item automaton follows one item.
 
 Defined cases: null, empty and blank texts have no subject; unknown subjects in the labels are ignored; without any label the
-lexicon is silent and the other functions decide; rows without a document id are documents too, their id is null.
+lexicon is silent and the other functions decide; without any subject there is no row; rows without a document id are documents too, their id is null.
 """
 
 from __future__ import annotations
@@ -410,6 +410,8 @@ def fitted(texts: DataFrame, labels: DataFrame, areas: DataFrame, items: DataFra
     listed = [(r[0], f"{r[0]} {r[1] or ''} {r[2] or ''}") for r in areas.select("subject", "title", "description").collect() if r[0]]  # the fixed list of subjects
     passages = [r[0] for r in items.select("passage").collect() if r[0]]  # the fixed test set
     model = SubjectModel(listed, passages)
+    if not model.subjects:
+        return model
     known = labels.where(F.col("doc_id").isNotNull() & F.col("subject").isin(model.subjects)).select("doc_id", "subject").distinct()
     chosen = known.groupBy("doc_id").agg(F.collect_set("subject").alias("given")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     taught = texts.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id").toPandas()
@@ -455,6 +457,8 @@ def subject_shares(texts: DataFrame, labels: DataFrame, areas: DataFrame, items:
     spark, kind = texts.sparkSession, texts.schema["doc_id"].dataType.simpleString()
     model = fitted(texts, labels, areas, items)
     k, subjects = len(model.subjects), model.subjects
+    if not subjects:
+        return texts.select("doc_id", F.lit("").alias("subject"), F.lit(0.0).alias("share")).where("false")
     votes = cut(sentence_votes(texts, model))
     open_ = (k + 1) ** (len(FUNCTIONS) - 1)
     full = votes.join(leanings(votes), "source", "left").select("doc_id", "taught", "patterns", F.coalesce("lean", F.lit(0)).alias("lean"))

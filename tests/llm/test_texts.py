@@ -165,6 +165,8 @@ def test_subjects(spark):
     assert got[902] == {"fraud"}  # ellipses alone are no quotation
     assert not {900, 901, 903} & got.keys()
     assert subjects.subject_shares(texts.limit(0), labels, areas, items).count() == 0
+    assert subjects.subject_shares(texts, labels, areas.limit(0), items).count() == 0
+    assert subjects.subject_shares(texts, labels, areas.limit(1), items.limit(0)).select("subject").distinct().count() <= 1
     # without labels titles and sections decide
     assert {r.subject for r in subjects.subject_shares(spark.createDataFrame([(1, "Credit limits. Limits again.", None)], "doc_id long, text string, source string"), labels.limit(0), areas, items).collect()} <= {"credit"}
 
