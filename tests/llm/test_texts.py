@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from decisionlake.llm import contamination, subjects, survivors, tokenizer
+from decisionlake.llm import contamination, queries, subjects, survivors, tokenizer
+from tests.compare import compare, connection
 
 TEXTS = [
     "", None, " ", "Hello world, it's 2024!", "a" * 5000, " " * 3000, "x y" * 400, "\n\n\t mixed \r\n spaces  ", "Déjà vu — naïve café", "décomposé", "قائمة العقوبات المرجع 45", "🙂👍🏽 ok", "<|endoftext|> plain", "﻿BOM ​ zero",
@@ -113,6 +114,27 @@ def test_survivors(spark):
     assert survivors.surviving_fields(keyed.limit(0), "master_customer_id", survivors.person_bundles(), survivors.source_trust(F.col("source_system")), "updated_timestamp").count() == 0
 
 
+def test_the_search_runs_only_where_a_constraint_decides(spark, tmp_path):
+    """Single fields don't pass through it, and lose nothing by it; a person and a document that disagree do."""
+    rows = [
+        ("old", "784199012345671", "a@b.c", "A B", None, "PARTNER", "1969-05-05"), ("old", None, None, None, None, "PARTNER", "1969-05-06"),
+        ("none", "784199012345671", "a@b.c", "A B", None, "AML", None), ("none", "784199012345672", "d@e.f", "C D", None, "AML", "1969-05-06"),
+        ("apart", "784198512345671", "a@b.c", None, None, "AECB", "2025-01-01"), ("apart", None, None, "A B", "1990-01-02", "POSTGRES", "2025-01-01"),
+    ]
+    df = spark.createDataFrame(rows, "master_customer_id string, emirates_id string, email string, full_name string, born string, source_system string, t string")
+    records = df.select("*", F.lit(None).cast("string").alias("phone"), F.to_date("born").alias("date_of_birth"), F.to_timestamp("t").alias("updated_timestamp"))
+    records.write.parquet(str(tmp_path / "customer_identity_xref.parquet"))
+    con = connection(str(tmp_path))
+    said = compare(spark, con, str(tmp_path), "p4_found", queries.p4_found, queries.ORACLES["p4_found"])
+    assert said.startswith("ok 9 "), said
+    assert "mapinpandas" not in queries.p4_found(spark, str(tmp_path))._jdf.queryExecution().toString().lower()
+    apart = records.where("master_customer_id = 'apart'")
+    found = lambda bundles: {(r.field_name, r.field_value) for r in survivors.surviving_fields(apart, "master_customer_id", bundles, survivors.source_trust(F.col("source_system")), "updated_timestamp").collect()}
+    person = {("full_name", "A B"), ("date_of_birth", "1990-01-02"), ("email", "a@b.c")}
+    assert found(survivors.person_bundles()) == person
+    assert found([survivors.Bundle(b.name, b.fields) for b in survivors.person_bundles()]) == person | {("emirates_id", "784198512345671")}
+
+
 def test_spans_are_removed_by_length_and_coverage(spark):
     """Against a search of every stretch in every item, on random words."""
     rng = random.Random(8)
